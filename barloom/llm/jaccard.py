@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.bitmaps import collect_bitmap, id_key, maybe
-from barloom.llm.common import cut, keyed_text, stored
+from barloom.llm.common import cut, discard, keyed_text, stored
 from barloom.llm.components import components
 
 # Odd multipliers that mix the words of a shingle.
@@ -231,12 +231,13 @@ def jaccard_components(df: DataFrame, limit: Threshold = Threshold(85), key: str
     """doc_id, n_shingles, component_id of every row."""
     docs = keyed_text(df, key, text)
     base = stored(_sets(docs, limit), "sets")
-    links, classes = _links(docs, base, limit)
+    slim = stored(base.select("doc_id", "n", "digest"), "sizes")
+    links, classes = _links(docs, base, slim, limit)
     found = components(links)
     # a class of equal sets takes its representative's component; rows reach it by salted digests, for a class may be huge
     named = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("digest", "rep", "members", F.coalesce("component", "rep").alias("component_id"))
     named = cut(named)
-    sized = base.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "digest")
+    sized = slim.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "digest")
     own = sized.join(named.select(F.col("rep").alias("doc_id"), F.col("digest").alias("own"), "component_id"), "doc_id", "left")
     done = own.where(F.col("component_id").isNotNull() | F.col("digest").isNull() | F.col("doc_id").isNull())
     done = done.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
@@ -246,9 +247,12 @@ def jaccard_components(df: DataFrame, limit: Threshold = Threshold(85), key: str
     return done.unionByName(copies.select("doc_id", "n_shingles", "component_id"))
 
 
-def _links(docs: DataFrame, base: DataFrame, limit: Threshold) -> tuple[DataFrame, DataFrame]:
-    """Edges (a, b) that connect all linked representatives, and the classes of equal sets (digest, rep, members)."""
-    classes = cut(base.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("members")))
+def _links(docs: DataFrame, base: DataFrame, slim: DataFrame, limit: Threshold) -> tuple[DataFrame, DataFrame]:
+    """Edges (a, b) that connect all linked representatives, and the classes of equal sets (digest, rep, members).
+
+    Steps are stored as Parquet, and what no later step reads is removed on the way.
+    """
+    classes = cut(slim.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("members")))
     reps = classes.select(F.col("rep").alias("doc_id")).distinct()
     known = base.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
 
@@ -256,14 +260,16 @@ def _links(docs: DataFrame, base: DataFrame, limit: Threshold) -> tuple[DataFram
     lists = stored(lists, "lists")
     shared, hot = collect_bitmap(lists, F.col("shingle")), collect_bitmap(lists.where(F.col("df") >= HOT), F.col("shingle"))
     mean = lists.where(F.col("df") < HOT).select(F.sum(F.col("df") * F.col("df")) / F.sum("df")).first()[0]
-    sizes = {r["n"]: r["c"] for r in known.where(F.col("n") <= LIGHTEST).groupBy("n").agg(F.count("*").alias("c")).collect()}
+    sizes = {r["n"]: r["c"] for r in slim.where(F.col("n") <= LIGHTEST).groupBy("n").agg(F.count("*").alias("c")).collect()}
     boundary = choose_boundary(sizes, mean or 0.0, limit)
 
-    entries = _postings(known, limit, boundary, hot, shared).join(reps, "doc_id", "left_semi")
-    entries = cut(entries)
+    entries = stored(_postings(known, limit, boundary, hot, shared).join(reps, "doc_id", "left_semi"), "entries")
+    discard(base)
+    discard(lists)
     heads = entries.groupBy("shingle").agg(F.min(F.struct("place", "doc_id", "n")).alias("pivot"), F.count("*").alias("members"), F.min("n").alias("least"))
     heads = cut(heads.where("members > 1"))
-    live = cut(entries.join(heads, "shingle").where(F.col("most") >= F.col("least")).select("shingle", entries["doc_id"], entries["n"], "place", "most", F.col("pivot.doc_id").alias("p"), F.col("pivot.n").alias("pn")))
+    live = stored(entries.join(heads, "shingle").where(F.col("most") >= F.col("least")).select("shingle", entries["doc_id"], entries["n"], "place", "most", F.col("pivot.doc_id").alias("p"), F.col("pivot.n").alias("pn")), "live")
+    discard(entries)
 
     def fits(n: Column, m: Column) -> Column:
         return (F.lit(limit.whole) * F.least(n, m) >= F.lit(limit.part) * F.greatest(n, m)) & (F.greatest(n, m) > F.lit(boundary))
@@ -272,19 +278,20 @@ def _links(docs: DataFrame, base: DataFrame, limit: Threshold) -> tuple[DataFram
     votes = near.groupBy("doc_id", "p").agg(F.count("*").alias("votes")).groupBy("doc_id").agg(F.max_by("p", F.struct("votes", -F.col("p"))).alias("p"))
     stars = cut(votes.select(F.col("p").alias("a"), F.col("doc_id").alias("b")))
 
-    light = known.where(F.col("n").between(1, boundary)).select("doc_id").join(reps, "doc_id", "left_semi")
-    wanted = collect_bitmap(live.select("doc_id").union(light), id_key("doc_id"))
-    sets = stored(_full_sets(docs, limit, wanted), "full")
-
+    light = slim.where(F.col("n").between(1, boundary)).select("doc_id").join(reps, "doc_id", "left_semi")
+    ends = stars.select("a").union(stars.select("b"))
+    sets = stored(_full_sets(docs, limit, collect_bitmap(ends.union(light), id_key(ends.columns[0]))), "full")
     unpacked = sets.withColumn("n", (F.octet_length("set") / 8).cast("int")).where(F.col("n") <= boundary).join(light, "doc_id", "left_semi")
-    edges = _stars(cut(_light(_unpack(unpacked), limit, boundary))) if boundary else stars.limit(0)
+    edges = _stars(stored(_light(_unpack(unpacked), limit, boundary), "subsets")) if boundary else stars.limit(0)
     found = cut(_verified(stars, sets, limit).union(edges))
+    discard(sets)
     label = components(found)
 
     named = live.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("shingle", "doc_id", "n", "place", "most", F.coalesce("component", "doc_id").alias("c"))
-    named = cut(named)
+    named = stored(named, "named")
+    discard(live)
     several = cut(named.groupBy("shingle").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("shingle"))
-    named = cut(named.join(several, "shingle"))
+    named = stored(named.join(several, "shingle"), "mixed")
     # the smaller or equal set of a pair is found by a shorter prefix; sets of one component, size and place stand together
     role = named.where(F.lit(limit.part + limit.whole) * (F.col("n") - F.col("place")) >= F.lit(2 * limit.part) * F.col("n"))
     small = role.groupBy("shingle", "c", "n", "place", "most").agg(F.count("*").alias("size"))
@@ -294,7 +301,10 @@ def _links(docs: DataFrame, base: DataFrame, limit: Threshold) -> tuple[DataFram
     again = role.select("shingle", F.col("doc_id").alias("x"), F.col("c").alias("cx"), F.col("n").alias("nx"), F.col("place").alias("px"))
     pairs = met.join(again, ["shingle", "cx", "nx", "px"]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = _verified(cut(pairs.join(tried, ["a", "b"], "left_anti")), sets, limit)
+    pairs = cut(pairs.join(tried, ["a", "b"], "left_anti"))
+    ends = pairs.select("a").union(pairs.select("b"))
+    sets = _full_sets(docs, limit, collect_bitmap(ends, id_key("a")))
+    more = _verified(pairs, stored(sets, "full"), limit)
     return cut(found.union(more)), classes
 
 
