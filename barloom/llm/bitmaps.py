@@ -1,6 +1,6 @@
 """Fixed-size bitmaps over 63-bit keys: a task skips rows that cannot matter, whatever the input's size.
 
-A bitmap has 2**27 bits (16 MB) however many keys go in. It only answers "surely
+A bitmap has 2**26 bits (8 MB) however many keys go in. It only answers "surely
 not" or "maybe": where it fills up, less is skipped and results stay the same.
 """
 
@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS, BITS = 4096, 32768
+BUCKETS, BITS = 2048, 32768
 
 
 def collect_bitmap(df: DataFrame, key: Column) -> np.ndarray:

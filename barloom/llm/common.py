@@ -57,14 +57,20 @@ def keyed_text(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key).cast("bigint").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
 
+def slices(it: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of a few hundred rows, which bound what Python holds of them at once."""
+    for batch in it:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def batches(fn: Callable[..., list], fields: list[tuple[str, pa.DataType]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Wraps a function of a batch's Python columns, giving output columns, for ``mapInArrow``."""
     schema = pa.schema(fields)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            if batch.num_rows:
-                out = fn(*(c.to_pylist() for c in batch.columns))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
+        for batch in slices(it):
+            out = fn(*(c.to_pylist() for c in batch.columns))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
 
     return run

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.bitmaps import collect_bitmap, id_key, maybe
-from barloom.llm.common import cut, discard, keyed_text, stored
+from barloom.llm.common import cut, discard, keyed_text, slices, stored
 from barloom.llm.components import components
 
 # Odd multipliers that mix the words of a shingle.
@@ -71,7 +71,7 @@ class Threshold:
 class Shingler:
     """Sorted distinct shingle hashes of a text; word hashes are remembered up to a bound."""
 
-    def __init__(self, words: int, memory: int = 400_000) -> None:
+    def __init__(self, words: int, memory: int = 150_000) -> None:
         self.words, self.memory, self.known = words, memory, {}
 
     def hashes(self, words: list[bytes]) -> np.ndarray:
@@ -107,7 +107,7 @@ def _sets(df: DataFrame, limit: Threshold) -> DataFrame:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(limit.words)
-        for batch in it:
+        for batch in slices(it):
             ns, digests, lows = [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingler.shingles(text)
@@ -144,7 +144,7 @@ def _stars(postings: DataFrame) -> DataFrame:
 
 def _light(sets: DataFrame, limit: Threshold, boundary: int) -> DataFrame:
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
+        for batch in slices(it):
             docs, ns, keys, equal = [], [], [], []
             for doc, n, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 s = np.array(s, np.int64)
@@ -169,7 +169,7 @@ def _postings(sets: DataFrame, limit: Threshold, boundary: int, hot: np.ndarray,
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             docs, ns = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
-            values, at = batch.column(2).values.to_numpy(), batch.column(2).offsets.to_numpy()
+            values, at = batch.column(2).values.to_numpy(), batch.column(2).offsets.to_numpy()  # offsets count from the values' start, in slices too
             is_hot, is_shared = maybe(hot, values), maybe(shared, values)
             out: list[list[np.ndarray]] = [[], [], [], []]
             for i, (doc, n) in enumerate(zip(docs, ns)):
@@ -195,7 +195,7 @@ def _full_sets(docs: DataFrame, limit: Threshold, wanted: np.ndarray) -> DataFra
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(limit.words)
-        for batch in it:
+        for batch in slices(it):
             keep = batch.filter(pa.array(maybe(wanted, batch.column(2).to_numpy(zero_copy_only=False))))
             if keep.num_rows:
                 sets = [shingler.shingles(t).tobytes() for t in keep.column(1).to_pylist()]
@@ -208,7 +208,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, limit: Threshold) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
+        for batch in slices(it):
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
                 p, q = np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64)

@@ -314,16 +314,11 @@ def media_features(df: DataFrame) -> DataFrame:
     return df.select("doc_id", "n_bytes", "media").mapInArrow(batches(_features, FIELDS), SCHEMA)
 
 
-def store_and_read(df: DataFrame, key: str = "doc_id", text: str = "text", rows: int = 200) -> DataFrame:
-    """``media_features`` of ``media_column`` in one pass: a few hundred stored forms are held at once."""
+def store_and_read(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``media_features`` of ``media_column`` in one pass: few stored forms are held at once."""
 
     def run(keys: list, texts: list) -> list:
-        out: list[list] = [[] for _ in FIELDS]
-        for at in range(0, len(keys), rows):
-            raw = [x.encode() for x in texts[at : at + rows]]
-            part = _features(keys[at : at + rows], [len(x) for x in raw], [pack(padded(x)) for x in raw])
-            for a, b in zip(out, part, strict=True):
-                a.extend(b)
-        return out
+        raw = [x.encode() for x in texts]
+        return _features(keys, [len(x) for x in raw], [pack(padded(x)) for x in raw])
 
     return keyed_text(df, key, text).mapInArrow(batches(run, FIELDS), SCHEMA)

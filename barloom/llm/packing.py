@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import keyed_text, stored
+from barloom.llm.common import keyed_text, slices, stored
 
 # Fixed value: how byte-level vocabularies of this family cut a text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -50,7 +50,7 @@ def pieces(df: DataFrame, ranks_path: str, capacity: int = 2048, end_id: int = 0
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, seen = tokenizer(ranks_path), TaskContext.get().partitionId(), Counter()
-        for batch in it:
+        for batch in slices(it):
             rows = []
             for doc, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = np.append(np.asarray(enc.encode_ordinary(body), "<u4"), np.uint32(end_id))

@@ -23,7 +23,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from barloom.llm.common import keyed_text
+from barloom.llm.common import keyed_text, slices
 
 MARK = "▁"
 SHORT = 40
@@ -32,7 +32,7 @@ SHORT = 40
 class MergeEncoder:
     """Encodes and decodes like the library's merge model with byte fallback and identity normalisation."""
 
-    def __init__(self, model: str, memory: int = 400_000) -> None:
+    def __init__(self, model: str, memory: int = 300_000) -> None:
         self.library = lib = sentencepiece.SentencePieceProcessor(model_file=model)
         n = lib.get_piece_size()
         names = lib.id_to_piece(list(range(n)))
@@ -159,11 +159,9 @@ def encode_digests(df: DataFrame, model: str, key: str = "doc_id", text: str = "
     return keyed_text(df, key, text).mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, agrees boolean")
 
 
-def _encoded(enc: MergeEncoder, it: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[tuple[pa.Array, list[list[int]], list[str], list[bool]]]:
-    for whole in it:
-        for at in range(0, whole.num_rows, rows):  # ids of a few hundred rows at once bound the memory
-            batch = whole.slice(at, rows)
-            texts = batch.column(1).to_pylist()
-            ids = [enc.encode(x) for x in texts]
-            checked = enc.library.encode(texts, num_threads=1)
-            yield batch.column(0), ids, [enc.decode(x) for x in ids], [a == b for a, b in zip(ids, checked)]
+def _encoded(enc: MergeEncoder, it: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[list[int]], list[str], list[bool]]]:
+    for batch in slices(it):
+        texts = batch.column(1).to_pylist()
+        ids = [enc.encode(x) for x in texts]
+        checked = enc.library.encode(texts, num_threads=1)
+        yield batch.column(0), ids, [enc.decode(x) for x in ids], [a == b for a, b in zip(ids, checked)]

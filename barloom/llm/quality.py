@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import batches, keyed_text
+from barloom.llm.common import batches, keyed_text, slices
 from barloom.llm.samples import HELD_OUT, labelled
 
 WIDTH, CHUNK, STRIDE = 4, 512, 384
@@ -182,7 +182,7 @@ def keep_good(df: DataFrame, net: ByteNet, text: str = "text") -> DataFrame:
 
     def task(it):  # noqa: ANN001, ANN202
         one, at = scorer(net), names.index(text)
-        for batch in it:
+        for batch in slices(it):
             yield batch.filter(pa.array([one(t or "") >= PASS for t in batch.column(at).to_pylist()], pa.bool_()))
 
     return df.mapInArrow(task, df.schema)

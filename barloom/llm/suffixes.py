@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.bitmaps import collect_bitmap, maybe
-from barloom.llm.common import keyed_text, stored
+from barloom.llm.common import discard, keyed_text, slices, stored
 from barloom.llm.jaccard import MIX, Shingler
 
 GRAM = 4
@@ -113,7 +113,7 @@ def _scan(docs: DataFrame, min_words: int, reach: int) -> DataFrame:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = Passages(min_words, reach)
-        for batch in it:
+        for batch in slices(it):
             out: list[list[np.ndarray]] = [[] for _ in names]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if p.read(text):
@@ -169,7 +169,7 @@ def _windows(docs: DataFrame, min_words: int, reach: int, places: np.ndarray) ->
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = Passages(min_words, reach)
-        for batch in it:
+        for batch in slices(it):
             out: list[list[np.ndarray]] = [[], [], []]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if p.read(text):
@@ -220,10 +220,12 @@ def repeated_spans(df: DataFrame, min_words: int = 50, reach: int = 32, key: str
     kept = stored(_scan(docs, min_words, reach), "suffixes")
     order = ["suffix", "stretch", "doc_id", "lo"]
     alike = stored(_compare_suffixes(kept.repartitionByRange(*order).sortWithinPartitions(*order)), "alike")
+    discard(kept)
     places = collect_bitmap(alike.where(F.col("source").isNull()), F.col("place"))
     windows = stored(_windows(docs, min_words, reach, places), "windows")
     order = ["window", "doc_id", "start"]
     compared = stored(_compare_windows(windows.repartitionByRange(*order).sortWithinPartitions(*order)), "compared")
+    discard(windows)
     # a partition's first row repeats the last row before it if their windows are equal: two rows a partition meet here
     before = Window.orderBy("part", "kind")
     ends = compared.where("kind <> 1").withColumns({c: F.lag(x).over(before) for c, x in (("w", "window"), ("d", "doc_id"), ("s", "start"))})
@@ -235,7 +237,7 @@ def repeated_spans(df: DataFrame, min_words: int = 50, reach: int = 32, key: str
     by_doc = found.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("s"), F.array_sort(F.collect_set("source")).alias("source_ids"))
 
     def merge(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
+        for batch in slices(it):
             out = []
             for pairs in batch.column(1).to_pylist():
                 spans: list[list[int]] = []
@@ -279,7 +281,7 @@ def remove_repeats(df: DataFrame, min_words: int = 50, key: str = "doc_id", text
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = names.index(text)
-        for batch in it:
+        for batch in slices(it):
             texts = [t if not s or t is None else cut_words(t, s) for t, s in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), strict=True)]
             columns = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names=names)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import batches, keyed_text
+from barloom.llm.common import batches, keyed_text, slices
 from barloom.llm.samples import labelled
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -122,7 +122,7 @@ def keep_clean(df: DataFrame, model: OrdinalModel, text: str = "text") -> DataFr
 
     def run(it):  # noqa: ANN001, ANN202
         at = names.index(text)
-        for batch in it:
+        for batch in slices(it):
             yield batch.filter(pa.array([model.severity(t or "") < model.reject for t in batch.column(at).to_pylist()], pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
