@@ -11,10 +11,14 @@ which the overlap cannot be reached), in an order that puts shingles with long
 lists last; pairs must also fit by size and by place in the prefix. The boundary
 is where the counts of subsets and of list entries by size cost least.
 
-Long lists do not make all pairs. First each set is compared with the pivot of
-one of its lists, the set that has the fewest rarer shingles, which links groups
-of near copies as stars. Then only sets of a list that are not yet in one
-component are compared, so that no link between components is lost.
+Lists do not make all pairs. First sets are compared with the pivot of their
+lists, the largest set of those with the fewest rarer shingles, which links
+groups of near copies as stars. After that only sets of different components are compared: in
+lists under ``HOT`` members, all that fit by size and place; in longer lists, by
+what each set shares with a core, the pivot and all that ``HOT`` or more of its
+sets share beside it. If two sets share nothing outside the core, they share no
+more than either shares with it, so sizes decide; if they do, they meet in the
+short list of a shingle that the core lacks. No link between components is lost.
 
 Texts without words, or null, have empty sets and link with nothing. Rows are
 kept one for one. Rows of a repeated id count as one document for links. Rows
@@ -204,27 +208,32 @@ def _full_sets(docs: DataFrame, limit: Threshold, wanted: np.ndarray) -> DataFra
     return docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text", id_key("doc_id").alias("k")).mapInArrow(run, "doc_id bigint, set binary")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, limit: Threshold) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold."""
+def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """For pairs (a, b, hot): na, nb, the overlap, and of hot pairs the shingles of b that a lacks."""
+    names = ["a", "b", "na", "nb", "overlap", "extra"]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(it):
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
+            na, nb, overlap, extra = [], [], [], []
+            for hot, x, y in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4), strict=True):
                 p, q = np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64)
-                inter = 0
-                if len(p) and len(q) and min(len(p), len(q)) * limit.whole >= limit.part * max(len(p), len(q)):
-                    at = np.searchsorted(q, p)
-                    at[at == len(q)] = 0
-                    inter = int((q[at] == p).sum())
-                keep.append(inter > 0 and limit.whole * inter >= limit.part * (len(p) + len(q) - inter))
-            kept = batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-            if kept.num_rows:
-                yield kept
+                at = np.searchsorted(p, q)
+                at[at == len(p)] = 0
+                both = p[at] == q if len(p) else np.zeros(len(q), bool)
+                na.append(len(p))
+                nb.append(len(q))
+                overlap.append(int(both.sum()))
+                extra.append(q[~both] if hot else None)
+            cols = [pa.array(x, pa.int64()) for x in (na, nb, overlap)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols, pa.array(extra, pa.list_(pa.int64()))], names=names)
 
     left = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b")), "b")
     both = left.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a")), "a")
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint")
+    return both.select("a", "b", "hot", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint, overlap bigint, extra array<bigint>")
+
+
+def _linked(limit: Threshold) -> Column:
+    return (F.col("overlap") > 0) & (F.lit(limit.whole) * F.col("overlap") >= F.lit(limit.part) * (F.col("na") + F.col("nb") - F.col("overlap")))
 
 
 def jaccard_components(df: DataFrame, limit: Threshold = Threshold(85), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -266,9 +275,11 @@ def _links(docs: DataFrame, base: DataFrame, slim: DataFrame, limit: Threshold)
     entries = stored(_postings(known, limit, boundary, hot, shared).join(reps, "doc_id", "left_semi"), "entries")
     discard(base)
     discard(lists)
-    heads = entries.groupBy("shingle").agg(F.min(F.struct("place", "doc_id", "n")).alias("pivot"), F.count("*").alias("members"), F.min("n").alias("least"))
+    heads = entries.groupBy("shingle").agg(F.min(F.struct("place", -F.col("n"), "doc_id", "n")).alias("pivot"), F.count("*").alias("members"), F.min("n").alias("least"))
     heads = cut(heads.where("members > 1"))
-    live = stored(entries.join(heads, "shingle").where(F.col("most") >= F.col("least")).select("shingle", entries["doc_id"], entries["n"], "place", "most", F.col("pivot.doc_id").alias("p"), F.col("pivot.n").alias("pn")), "live")
+    live = entries.join(heads, "shingle").where(F.col("most") >= F.col("least"))
+    live = live.select("shingle", entries["doc_id"], entries["n"], "place", "most", F.col("pivot.doc_id").alias("p"), F.col("pivot.n").alias("pn"), (F.col("members") >= HOT).alias("hot"))
+    live = stored(live, "live")
     discard(entries)
 
     def fits(n: Column, m: Column) -> Column:
@@ -276,36 +287,62 @@ def _links(docs: DataFrame, base: DataFrame, slim: DataFrame, limit: Threshold)
 
     near = live.where((F.col("doc_id") != F.col("p")) & fits(F.col("n"), F.col("pn")) & (F.col("pn") <= F.col("most")))
     votes = near.groupBy("doc_id", "p").agg(F.count("*").alias("votes")).groupBy("doc_id").agg(F.max_by("p", F.struct("votes", -F.col("p"))).alias("p"))
-    stars = cut(votes.select(F.col("p").alias("a"), F.col("doc_id").alias("b")))
+    pivots = votes.select("p", "doc_id", F.lit(False).alias("hot")).union(live.where("hot AND doc_id <> p").select("p", "doc_id", "hot").distinct())
+    stars = cut(pivots.groupBy(F.col("p").alias("a"), F.col("doc_id").alias("b")).agg(F.max("hot").alias("hot")))
 
     light = slim.where(F.col("n").between(1, boundary)).select("doc_id").join(reps, "doc_id", "left_semi")
     ends = stars.select("a").union(stars.select("b"))
     sets = stored(_full_sets(docs, limit, collect_bitmap(ends.union(light), id_key(ends.columns[0]))), "full")
     unpacked = sets.withColumn("n", (F.octet_length("set") / 8).cast("int")).where(F.col("n") <= boundary).join(light, "doc_id", "left_semi")
-    edges = _stars(stored(_light(_unpack(unpacked), limit, boundary), "subsets")) if boundary else stars.limit(0)
-    found = cut(_verified(stars, sets, limit).union(edges))
+    edges = _stars(stored(_light(_unpack(unpacked), limit, boundary), "subsets")) if boundary else stars.select("a", "b").limit(0)
+    met = stored(_overlaps(stars, sets), "overlaps")
+    found = cut(met.where(_linked(limit)).select("a", "b").union(edges))
     discard(sets)
-    label = components(found)
+    label = cut(components(found).withColumnRenamed("node", "doc_id"))
+
+    def labelled(rows: DataFrame) -> DataFrame:
+        return rows.join(label, "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id")).drop("component")
+
+    def mixed(rows: DataFrame, *keys: str) -> DataFrame:
+        """Rows of the keys that hold several components."""
+        several = cut(rows.groupBy(*keys).agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select(*keys))
+        return rows.join(several, list(keys))
+
+    def twice(rows: DataFrame, keys: list[str], *columns: str) -> DataFrame:
+        return rows.join(rows.select(*keys, *(F.col(c).alias(f"{c}_") for c in columns)), keys).where("c <> c_")
 
-    named = live.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("shingle", "doc_id", "n", "place", "most", F.coalesce("component", "doc_id").alias("c"))
-    named = stored(named, "named")
+    # short lists: the smaller or equal set of a pair is found by a shorter prefix
+    short = stored(mixed(stored(labelled(live.where("NOT hot").select("shingle", "doc_id", "n", "place", "most")), "named"), "shingle"), "short")
     discard(live)
-    several = cut(named.groupBy("shingle").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("shingle"))
-    named = stored(named.join(several, "shingle"), "mixed")
-    # the smaller or equal set of a pair is found by a shorter prefix; sets of one component, size and place stand together
-    role = named.where(F.lit(limit.part + limit.whole) * (F.col("n") - F.col("place")) >= F.lit(2 * limit.part) * F.col("n"))
-    small = role.groupBy("shingle", "c", "n", "place", "most").agg(F.count("*").alias("size"))
-    small = cut(small.select("shingle", F.col("c").alias("cx"), F.col("n").alias("nx"), F.col("place").alias("px"), F.col("most").alias("mx")))
-    met = named.join(small, "shingle").where((F.col("c") != F.col("cx")) & (F.col("nx") <= F.col("n")) & (F.col("n") <= F.col("mx")) & (F.col("nx") <= F.col("most")) & fits(F.col("n"), F.col("nx")))
-    met = cut(met.select("shingle", F.col("doc_id").alias("y"), "cx", "nx", "px").distinct())
-    again = role.select("shingle", F.col("doc_id").alias("x"), F.col("c").alias("cx"), F.col("n").alias("nx"), F.col("place").alias("px"))
-    pairs = met.join(again, ["shingle", "cx", "nx", "px"]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    role = F.lit(limit.part + limit.whole) * (F.col("n_") - F.col("place_")) >= F.lit(2 * limit.part) * F.col("n_")
+    order = (F.col("n_") < F.col("n")) | ((F.col("n_") == F.col("n")) & (F.col("doc_id_") < F.col("doc_id")))
+    pairs = twice(short, ["shingle"], "doc_id", "n", "place", "most", "c").where(order & role & fits(F.col("n"), F.col("n_")) & (F.col("n") <= F.col("most_")) & (F.col("n_") <= F.col("most"))).select("doc_id", "doc_id_").distinct()
+
+    outside = met.where("extra IS NOT NULL").select("a", F.col("b").alias("doc_id"), F.col("nb").alias("n"), F.explode("extra").alias("shingle"))
+    outside = stored(labelled(outside), "outside")
+    tally = cut(outside.groupBy("a", "shingle").agg(F.count("*").alias("members"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("members > 1"))
+    core = outside.join(tally.where(F.col("members") >= HOT).select("a", "shingle"), ["a", "shingle"]).groupBy("a", "doc_id").agg(F.count("*").alias("more"))
+
+    # long lists, nothing shared outside the core: what two sets share is at most what either shares with it
+    around = labelled(met.where("extra IS NOT NULL").select("a", F.col("b").alias("doc_id"), F.col("nb").alias("n"), "overlap"))
+    around = around.join(core, ["a", "doc_id"], "left").withColumn("overlap", F.col("overlap") + F.coalesce("more", F.lit(0))).select("a", "doc_id", "n", "overlap", "c")
+    own = met.where("extra IS NOT NULL").select("a", F.col("a").alias("doc_id"), F.col("na").alias("n"), F.col("na").alias("overlap")).distinct()
+    around = stored(around.unionByName(labelled(own)), "around")
+    kinds = cut(around.groupBy("a", "c", "n", "overlap").agg(F.count("*").alias("size")).select("a", *(F.col(c).alias(f"{c}_") for c in ("c", "n", "overlap"))))
+    need = F.lit(limit.part) * (F.col("n") + F.col("n_")) <= F.lit(limit.part + limit.whole) * F.least("overlap", "overlap_")
+    band = around.join(kinds, "a").where((F.col("c") != F.col("c_")) & need & fits(F.col("n"), F.col("n_"))).select("a", "doc_id", "c_", "n_", "overlap_")
+    band = cut(band).join(around.select("a", *(F.col(c).alias(f"{c}_") for c in ("doc_id", "c", "n", "overlap"))), ["a", "c_", "n_", "overlap_"]).select("doc_id", "doc_id_")
+
+    # long lists, something shared outside the core
+    outside = stored(outside.join(tally.where((F.col("members") < HOT) & (F.col("lo") < F.col("hi"))).select("a", "shingle"), ["a", "shingle"]), "beyond")
+    beyond = twice(outside, ["a", "shingle"], "doc_id", "n", "c").where((F.col("doc_id") < F.col("doc_id_")) & fits(F.col("n"), F.col("n_"))).select("doc_id", "doc_id_").distinct()
+
+    pairs = pairs.union(band).union(beyond).select(F.least("doc_id", "doc_id_").alias("a"), F.greatest("doc_id", "doc_id_").alias("b")).distinct()
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = cut(pairs.join(tried, ["a", "b"], "left_anti"))
+    pairs = cut(pairs.join(tried, ["a", "b"], "left_anti").withColumn("hot", F.lit(False)))
     ends = pairs.select("a").union(pairs.select("b"))
-    sets = _full_sets(docs, limit, collect_bitmap(ends, id_key("a")))
-    more = _verified(pairs, stored(sets, "full"), limit)
-    return cut(found.union(more)), classes
+    sets = stored(_full_sets(docs, limit, collect_bitmap(ends, id_key("a"))), "full")
+    return cut(found.union(_overlaps(pairs, sets).where(_linked(limit)).select("a", "b"))), classes
 
 
 def _unpack(packed: DataFrame) -> DataFrame:
