@@ -36,7 +36,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.bitmaps import collect_bitmap, id_key, maybe
@@ -333,9 +333,16 @@ def _links(docs: DataFrame, base: DataFrame, slim: DataFrame, limit: Threshold)
     band = around.join(kinds, "a").where((F.col("c") != F.col("c_")) & need & fits(F.col("n"), F.col("n_"))).select("a", "doc_id", "c_", "n_", "overlap_")
     band = cut(band).join(around.select("a", *(F.col(c).alias(f"{c}_") for c in ("doc_id", "c", "n", "overlap"))), ["a", "c_", "n_", "overlap_"]).select("doc_id", "doc_id_")
 
-    # long lists, something shared outside the core
-    outside = stored(outside.join(tally.where((F.col("members") < HOT) & (F.col("lo") < F.col("hi"))).select("a", "shingle"), ["a", "shingle"]), "beyond")
-    beyond = twice(outside, ["a", "shingle"], "doc_id", "n", "c").where((F.col("doc_id") < F.col("doc_id_")) & fits(F.col("n"), F.col("n_"))).select("doc_id", "doc_id_").distinct()
+    # long lists, something shared outside the core: prefixes again, of what a set has beside the core, rarest first
+    short_of = around.select("a", "doc_id", F.col("overlap").alias("inside"))
+    beside = outside.join(tally.select("a", "shingle", "members", "lo", "hi"), ["a", "shingle"], "left").where(F.coalesce("members", F.lit(1)) < HOT)
+    rank = F.row_number().over(Window.partitionBy("a", "doc_id").orderBy(F.coalesce("members", F.lit(1)), "shingle"))
+    first = F.col("n") - F.ceil(F.lit(limit.part) * F.col("n") / F.lit(limit.whole)) + 1
+    beside = beside.withColumn("rank", rank).where((F.col("rank") <= first) & (F.col("lo") < F.col("hi"))).join(short_of, ["a", "doc_id"])
+    beside = beside.select("a", "shingle", "doc_id", "n", "c", "inside", (F.col("n") - F.col("inside") - F.col("rank") + 1).alias("left"))
+    beside = stored(beside, "beside")
+    reach = F.lit(limit.part) * (F.col("n") + F.col("n_")) <= F.lit(limit.part + limit.whole) * (F.least("inside", "inside_") + F.least("left", "left_"))
+    beyond = twice(beside, ["a", "shingle"], "doc_id", "n", "c", "inside", "left").where((F.col("doc_id") < F.col("doc_id_")) & reach & fits(F.col("n"), F.col("n_"))).select("doc_id", "doc_id_").distinct()
 
     pairs = pairs.union(band).union(beyond).select(F.least("doc_id", "doc_id_").alias("a"), F.greatest("doc_id", "doc_id_").alias("b")).distinct()
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
