@@ -112,8 +112,8 @@ def chunk_checksums(bars: DataFrame) -> DataFrame:
     parts = [buffer(c, dense(c)) for c in ("date", *PRICES, "volume")]
     for k in ACTIONS:
         hits = sparse(k)
-        parts.append(buffer(f"{k}_idx", _little_endian(F.transform(hits, lambda h: _big_endian(h["i"], 4)))))
-        parts.append(buffer(f"{k}_val", _little_endian(F.transform(hits, lambda h: _big_endian(h["v"], 4)))))
+        parts.append(buffer(f"{k}.i", _little_endian(F.transform(hits, lambda h: _big_endian(h["i"], 4)))))
+        parts.append(buffer(f"{k}.v", _little_endian(F.transform(hits, lambda h: _big_endian(h["v"], 4)))))
     return grouped.select("ticker", "year", "n", "first", "last", F.sha2(F.unhex(F.concat(*parts)), 256).alias("sha256"))
 
 
