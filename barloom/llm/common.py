@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -29,17 +31,33 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{made}"
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Arrow batches of at most so many rows for the jobs run inside: rows may carry whole texts or sets."""
+    before = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, min(rows, int(before)) if int(before) > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cuts lineage through a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with small_batches(df.sparkSession):
+        return df.checkpoint(eager=True)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Writes rows as Parquet to the shared folder and reads them back: column pruning and no recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/barloom-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -58,10 +76,16 @@ def keyed_text(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def slices(it: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of a few hundred rows, which bound what Python holds of them at once."""
+    """The batches in slices of a few hundred rows, which bound what Python holds of them at once.
+
+    At the end the worker, which waits for further tasks, returns what its allocators hold.
+    """
     for batch in it:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def batches(fn: Callable[..., list], fields: list[tuple[str, pa.DataType]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
