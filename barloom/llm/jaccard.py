@@ -48,6 +48,7 @@ MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B1
 HOT = 32  # lists at least so long come last in the order of shingles
 LIGHTEST = 16  # subsets are counted, and used, up to this size at most
 SALTS = 16
+PARITY = 512  # bits of a set's parity signature: their differences never exceed those of the sets
 
 
 @dataclass(frozen=True)
@@ -106,23 +107,24 @@ class Shingler:
 
 
 def _sets(df: DataFrame, limit: Threshold) -> DataFrame:
-    """doc_id, n, digest, low: the counted shingles and at least a prefix's number, smallest hashes first."""
+    """doc_id, n, digest, parity, low: the counted shingles and at least a prefix's number, smallest hashes first."""
     top = int(limit.low() * 2**63)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(limit.words)
         for batch in slices(it):
-            ns, digests, lows = [], [], []
+            ns, digests, parities, lows = [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingler.shingles(text)
                 ns.append(len(s))
                 digests.append(hashlib.blake2b(s.tobytes(), digest_size=12).digest() if len(s) else None)
+                parities.append(np.packbits(np.bincount(s & (PARITY - 1), minlength=PARITY) & 1).view(np.int64))
                 lows.append(s[: max(limit.prefix(len(s)), np.searchsorted(s, top))] if len(s) else s)
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in lows])]).astype(np.int32)
             low = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(lows) if lows else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int32()), pa.array(digests, pa.binary()), low], names=["doc_id", "n", "digest", "low"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int32()), pa.array(digests, pa.binary()), pa.array(parities, pa.list_(pa.int64())), low], names=["doc_id", "n", "digest", "parity", "low"])
 
-    return df.mapInArrow(run, "doc_id bigint, n int, digest binary, low array<bigint>")
+    return df.mapInArrow(run, "doc_id bigint, n int, digest binary, parity array<bigint>, low array<bigint>")
 
 
 def subset_count(n: int, limit: Threshold, boundary: int) -> int:
@@ -232,6 +234,15 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "hot", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint, overlap bigint, extra array<bigint>")
 
 
+def _plausible(pairs: DataFrame, slim: DataFrame, limit: Threshold) -> DataFrame:
+    """The pairs (a, b) whose parity signatures differ in no more bits than linked sets may have shingles of their own."""
+    for side in ("a", "b"):
+        pairs = pairs.join(slim.select(F.col("doc_id").alias(side), F.col("n").alias(f"n{side}"), F.col("parity").alias(f"s{side}")), side)
+    apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    both = F.col("na") + F.col("nb")
+    return pairs.where(apart <= both - 2 * F.ceil(F.lit(limit.part) * both / F.lit(limit.part + limit.whole))).select("a", "b").distinct()
+
+
 def _linked(limit: Threshold) -> Column:
     return (F.col("overlap") > 0) & (F.lit(limit.whole) * F.col("overlap") >= F.lit(limit.part) * (F.col("na") + F.col("nb") - F.col("overlap")))
 
@@ -240,7 +251,7 @@ def jaccard_components(df: DataFrame, limit: Threshold = Threshold(85), key: str
     """doc_id, n_shingles, component_id of every row."""
     docs = keyed_text(df, key, text)
     base = stored(_sets(docs, limit), "sets")
-    slim = stored(base.select("doc_id", "n", "digest"), "sizes")
+    slim = stored(base.select("doc_id", "n", "digest", "parity"), "sizes")
     links, classes = _links(docs, base, slim, limit)
     found = components(links)
     # a class of equal sets takes its representative's component; rows reach it by salted digests, for a class may be huge
@@ -287,8 +298,9 @@ def _links(docs: DataFrame, base: DataFrame, slim: DataFrame, limit: Threshold)
 
     near = live.where((F.col("doc_id") != F.col("p")) & fits(F.col("n"), F.col("pn")) & (F.col("pn") <= F.col("most")))
     votes = near.groupBy("doc_id", "p").agg(F.count("*").alias("votes")).groupBy("doc_id").agg(F.max_by("p", F.struct("votes", -F.col("p"))).alias("p"))
-    pivots = votes.select("p", "doc_id", F.lit(False).alias("hot")).union(live.where("hot AND doc_id <> p").select("p", "doc_id", "hot").distinct())
-    stars = cut(pivots.groupBy(F.col("p").alias("a"), F.col("doc_id").alias("b")).agg(F.max("hot").alias("hot")))
+    near = _plausible(votes.select(F.col("p").alias("a"), F.col("doc_id").alias("b")), slim, limit).withColumn("hot", F.lit(False))
+    pivots = near.union(live.where("hot AND doc_id <> p").select(F.col("p").alias("a"), F.col("doc_id").alias("b"), "hot").distinct())
+    stars = cut(pivots.groupBy("a", "b").agg(F.max("hot").alias("hot")))
 
     light = slim.where(F.col("n").between(1, boundary)).select("doc_id").join(reps, "doc_id", "left_semi")
     ends = stars.select("a").union(stars.select("b"))
@@ -346,7 +358,7 @@ def _links(docs: DataFrame, base: DataFrame, slim: DataFrame, limit: Threshold)
 
     pairs = pairs.union(band).union(beyond).select(F.least("doc_id", "doc_id_").alias("a"), F.greatest("doc_id", "doc_id_").alias("b")).distinct()
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = cut(pairs.join(tried, ["a", "b"], "left_anti").withColumn("hot", F.lit(False)))
+    pairs = cut(_plausible(pairs.join(tried, ["a", "b"], "left_anti"), slim, limit).withColumn("hot", F.lit(False)))
     ends = pairs.select("a").union(pairs.select("b"))
     sets = stored(_full_sets(docs, limit, collect_bitmap(ends, id_key("a"))), "full")
     return cut(found.union(_overlaps(pairs, sets).where(_linked(limit)).select("a", "b"))), classes
