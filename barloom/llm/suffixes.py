@@ -214,7 +214,7 @@ def _compare_windows(sorted_rows: DataFrame) -> DataFrame:
     return sorted_rows.mapInArrow(run, "kind int, part int, window bigint, doc_id bigint, start int, source bigint")
 
 
-def repeated_spans(df: DataFrame, min_words: int = 50, reach: int = 32, key: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_spans(df: DataFrame, min_words: int = 50, reach: int = 40, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, spans array<struct<a, b>> (word places, disjoint, sorted), source_ids of documents that have repeated passages."""
     docs = keyed_text(df, key, text).where(F.col("doc_id").isNotNull())
     kept = stored(_scan(docs, min_words, reach), "suffixes")
