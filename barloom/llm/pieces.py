@@ -3,8 +3,9 @@
 The encoder keeps an agenda of adjacent symbol pairs ordered by piece score
 (ties: the leftmost pair first), merges the best pair, and pushes the pairs that
 the merge made. Pieces never hold a word mark after another character, so a
-text falls into units at those marks, and each distinct unit is merged once a
-worker and then looked up. Every Arrow batch is also encoded by the
+text falls into units at those marks (and at line ends and closing marks that no
+piece joins to a letter), and each distinct unit is merged once a worker and then
+looked up. Every Arrow batch is also encoded by the
 sentencepiece library and compared; ``agrees`` holds the comparison.
 
 Null text is empty and gives no ids. Rows are kept one for one, repeats
@@ -27,12 +28,13 @@ from barloom.llm.common import keyed_text, slices
 
 MARK = "▁"
 SHORT = 40
+ENDERS = ",.;:!?"
 
 
 class MergeEncoder:
     """Encodes and decodes like the library's merge model with byte fallback and identity normalisation."""
 
-    def __init__(self, model: str, memory: int = 300_000) -> None:
+    def __init__(self, model: str, memory: int = 800_000) -> None:
         self.library = lib = sentencepiece.SentencePieceProcessor(model_file=model)
         n = lib.get_piece_size()
         names = lib.id_to_piece(list(range(n)))
@@ -45,7 +47,11 @@ class MergeEncoder:
         order = {s: r for r, s in enumerate(sorted(set(scores.values()), reverse=True))}
         self.rank = {p: order[s] for p, s in scores.items() if len(p) > 1}
         self.bytes = [lib.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+        # marks of sentence that no piece joins to a letter before, and whether line ends stand alone in all pieces
+        self.enders = frozenset(c for c in ENDERS if not any(b == c and a.isalpha() for p in self.rank for a, b in zip(p, p[1:])))
+        self.lines = not any("\n" in p for p in self.rank)
         self.units: dict[str, tuple[int, ...]] = {}
+        self.inner: dict[str, tuple[int, ...]] = {}
         self.memory = memory
 
     def merge(self, unit: str) -> tuple[int, ...]:
@@ -100,6 +106,33 @@ class MergeEncoder:
                 heapq.heappush(agenda, (r, h, s[h] + merged))
         return [x for x in s if x]
 
+    def learn(self, word: str) -> tuple[int, ...]:
+        """Ids of a word with its mark, made from its parts where no piece crosses between them."""
+        if (ids := self.units.get(word)) is None:
+            if self.lines and "\n" in word:
+                head, *rest = word.split("\n")
+                ids = self.learn(head)
+                for part in rest:
+                    ids += self.merge("\n") + (self.learn_inner(part) if part else ())
+            elif word[-1:] in self.enders and word[-2:-1].isalpha():
+                ids = self.learn(word[:-1]) + self.learn_inner(word[-1])
+            else:
+                ids = self.merge(MARK + word)
+            self.units[word] = ids
+        return ids
+
+    def learn_inner(self, part: str) -> tuple[int, ...]:
+        """Ids of a part without a mark before it."""
+        if (ids := self.inner.get(part)) is None:
+            if len(self.inner) > self.memory // 4:
+                self.inner.clear()
+            if len(part) > 1 and part[-1] in self.enders and part[-2].isalpha():
+                ids = self.learn_inner(part[:-1]) + self.learn_inner(part[-1])
+            else:
+                ids = self.merge(part)
+            self.inner[part] = ids
+        return ids
+
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text, without begin and end ids."""
         if not text:
@@ -116,21 +149,28 @@ class MergeEncoder:
         if None in found:
             for k, ids in enumerate(found):
                 if ids is None:
-                    w = words[k]
-                    if (ids := get(w)) is None:
-                        ids = known[w] = self.merge(MARK + w)
-                    found[k] = ids
+                    found[k] = self.learn(words[k])
         return list(chain.from_iterable(found))
 
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids)
 
 
+ENCODERS: dict[str, MergeEncoder] = {}
+
+
+def encoder(model: str) -> MergeEncoder:
+    """One encoder a worker process and model: what earlier tasks of the process have merged stays known."""
+    if model not in ENCODERS:
+        ENCODERS[model] = MergeEncoder(model)
+    return ENCODERS[model]
+
+
 def encode_documents(df: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, ids array<int>, decoded string, agrees boolean (the library gives the same ids)."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = MergeEncoder(model)
+        enc = encoder(model)
         for keys, ids, decoded, agrees in _encoded(enc, it):
             yield pa.RecordBatch.from_arrays([keys, pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string()), pa.array(agrees)], names=["doc_id", "ids", "decoded", "agrees"])
 
@@ -141,7 +181,7 @@ def encode_digests(df: DataFrame, model: str, key: str = "doc_id", text: str = "
     """doc_id, n_tokens, ids_sha256, decoded_sha256, agrees: what ``encode_documents`` gives, digested in the task."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = MergeEncoder(model)
+        enc = encoder(model)
         digits = [str(i) for i in range(enc.library.get_piece_size())]
         sha = hashlib.sha256
         for keys, ids, decoded, agrees in _encoded(enc, it):
