@@ -14,6 +14,7 @@ included; other columns of the input are ignored.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import re
@@ -34,7 +35,7 @@ ENDERS = ",.;:!?"
 class MergeEncoder:
     """Encodes and decodes like the library's merge model with byte fallback and identity normalisation."""
 
-    def __init__(self, model: str, memory: int = 800_000) -> None:
+    def __init__(self, model: str, memory: int = 1_500_000) -> None:
         self.library = lib = sentencepiece.SentencePieceProcessor(model_file=model)
         n = lib.get_piece_size()
         names = lib.id_to_piece(list(range(n)))
@@ -200,8 +201,15 @@ def encode_digests(df: DataFrame, model: str, key: str = "doc_id", text: str = "
 
 
 def _encoded(enc: MergeEncoder, it: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[list[int]], list[str], list[bool]]]:
-    for batch in slices(it):
-        texts = batch.column(1).to_pylist()
-        ids = [enc.encode(x) for x in texts]
-        checked = enc.library.encode(texts, num_threads=1)
-        yield batch.column(0), ids, [enc.decode(x) for x in ids], [a == b for a, b in zip(ids, checked)]
+    # merged units are hundreds of thousands of tuples without cycles; the collector would walk them again and again
+    collecting = gc.isenabled()
+    gc.disable()
+    try:
+        for batch in slices(it):
+            texts = batch.column(1).to_pylist()
+            ids = [enc.encode(x) for x in texts]
+            checked = enc.library.encode(texts, num_threads=1)
+            yield batch.column(0), ids, [enc.decode(x) for x in ids], [a == b for a, b in zip(ids, checked)]
+    finally:
+        if collecting:
+            gc.enable()
