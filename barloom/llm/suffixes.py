@@ -53,6 +53,17 @@ class _Powers:
         return self.up, self.down
 
 
+def least(g: np.ndarray, reach: int) -> np.ndarray:
+    """For every run of ``reach`` values the place of its least (ties: the leftmost), in memory that grows with the values alone."""
+    at, size = np.arange(len(g)), 1
+    while size < reach:
+        step = min(size, reach - size)
+        left, right = at[:-step], at[step:]
+        at = np.where(g[right] < g[left], right, left)
+        size += step
+    return at
+
+
 class Passages:
     """Minimisers and stretch hashes of one text."""
 
@@ -75,8 +86,7 @@ class Passages:
         up, self.down = self.powers.upto(n + 1)
         self.sums = np.concatenate([[np.uint64(0)], np.cumsum(w * up[:n])])
         starts = n - self.min_words + 1
-        near = np.lib.stride_tricks.sliding_window_view(g, self.reach)[:starts]
-        at = np.arange(starts) + near.argmin(1)
+        at = least(g, self.reach)[:starts]
         self.lo = np.nonzero(np.concatenate([[True], at[1:] != at[:-1]]))[0]
         self.pos = at[self.lo]
         self.count = np.diff(np.append(self.lo, starts))
@@ -128,7 +138,8 @@ def _scan(docs: DataFrame, min_words: int, reach: int) -> DataFrame:
 def _compare_suffixes(sorted_rows: DataFrame) -> DataFrame:
     """Of rows sorted by suffix, stretch and place: those like a neighbour, with the place key, and the neighbour's doc where the stretch is equal.
 
-    The first and last row of a partition, whose outer neighbour is elsewhere, are kept; the windows decide on them.
+    The first of equal suffixes is left out where all of them, seen in one batch, have its stretch. The first and
+    last row of a partition, whose outer neighbour is elsewhere, are kept; the windows decide on them.
     """
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,6 +166,11 @@ def _compare_suffixes(sorted_rows: DataFrame) -> DataFrame:
                 same = like_before & (stretch == np.concatenate([[prior[1] if prior else -1], stretch[:-1]]))
                 source = np.concatenate([[prior[2] if prior else -1], doc[:-1]])
                 keep = (like_before | like_next)[:n]
+                # suffixes in a row that share one stretch are whole repeats of their first, whose windows nothing needs then
+                begin = np.nonzero(~like_before)[0]
+                first, last = begin[:-1], begin[1:] - 1
+                first = first[stretch[first] == stretch[last]]
+                keep[first if prior else first[first > 0]] = False
                 if keep.any():
                     cols = [x[:n][keep] for x in (doc, lo, count, _place(doc, lo))]
                     yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in cols), pa.array(np.where(same, source, 0)[:n][keep], mask=~same[:n][keep])], names=["doc_id", "lo", "count", "place", "source"])
