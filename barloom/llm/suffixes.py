@@ -15,8 +15,9 @@ spread over tasks, and the comparison carries across partition borders.
 The first occurrence stays, all later ones are repeated. Words are runs without
 ASCII white space, compared as they are. Null and empty texts, and rows with a
 null id, have no repeated words. Rows are kept one for one; rows of one id and
-the same place are one occurrence. Other columns pass through ``remove_repeats``
-and are ignored elsewhere.
+one text are one occurrence, and different texts of one id are documents of
+their own, in the order of a hash of the text (``row``). Other columns pass
+through ``remove_repeats`` and are ignored elsewhere.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.bitmaps import collect_bitmap, maybe
@@ -110,33 +111,38 @@ class Passages:
         return (h ^ ((self.pos - self.lo) * 1_000_003 + self.count)) & np.int64((1 << 63) - 1)
 
 
-def _place(doc: int | np.ndarray, lo: np.ndarray) -> np.ndarray:
+def _row(text: Column) -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def _place(doc: int | np.ndarray, row: int | np.ndarray, lo: np.ndarray) -> np.ndarray:
     """A bitmap key of a minimiser's place."""
-    h = (np.asarray(doc).astype(np.uint64) * MIX[0]) ^ (lo.astype(np.uint64) * MIX[2])
+    h = (np.asarray(doc).astype(np.uint64) * MIX[0]) ^ (np.asarray(row).astype(np.uint64) * MIX[1]) ^ (lo.astype(np.uint64) * MIX[2])
     h ^= h >> np.uint64(32)
     return ((h * MIX[3]) >> np.uint64(1)).astype(np.int64)
 
 
 def _scan(docs: DataFrame, min_words: int, reach: int) -> DataFrame:
-    """suffix, stretch, doc_id, lo, count of every minimiser."""
-    names = ["suffix", "stretch", "doc_id", "lo", "count"]
+    """suffix, stretch, doc_id, row, lo, count of every minimiser."""
+    names = ["suffix", "stretch", "doc_id", "row", "lo", "count"]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = Passages(min_words, reach)
         for batch in slices(it):
             out: list[list[np.ndarray]] = [[] for _ in names]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc, text, row in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 if p.read(text):
-                    for column, x in zip(out, (p.suffixes(), p.stretches(), np.full(len(p.lo), doc, np.int64), p.lo.astype(np.int32), p.count.astype(np.int32)), strict=True):
+                    for column, x in zip(out, (p.suffixes(), p.stretches(), np.full(len(p.lo), doc, np.int64), np.full(len(p.lo), row, np.int64), p.lo.astype(np.int32), p.count.astype(np.int32)), strict=True):
                         column.append(x)
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=names)
 
-    return docs.mapInArrow(run, "suffix bigint, stretch bigint, doc_id bigint, lo int, count int")
+    return docs.mapInArrow(run, "suffix bigint, stretch bigint, doc_id bigint, row bigint, lo int, count int")
 
 
 def _compare_suffixes(sorted_rows: DataFrame) -> DataFrame:
-    """Of rows sorted by suffix, stretch and place: those like a neighbour, with the place key, and the neighbour's doc where the stretch is equal.
+    """Of rows sorted by suffix, stretch and place: those like a neighbour, with the place key, and the neighbour's doc where the stretch is equal and at another place.
 
     The first of equal suffixes is left out where all of them, seen in one batch, have its stretch. The first and
     last row of a partition, whose outer neighbour is elsewhere, are kept; the windows decide on them.
@@ -148,14 +154,14 @@ def _compare_suffixes(sorted_rows: DataFrame) -> DataFrame:
         while not ended:
             batch = next(it, None)
             ended = batch is None
-            rows = [] if ended else [batch.column(i).to_numpy() for i in range(5)]
+            rows = [] if ended else [batch.column(i).to_numpy() for i in range(6)]
             if ended and held is None:
                 return
             if held is not None:
                 rows = [np.concatenate([h, r]) for h, r in zip(held, rows, strict=True)] if not ended else held
             if not len(rows[0]):
                 continue
-            suffix, stretch, doc, lo, count = rows
+            suffix, stretch, doc, row, lo, count = rows
             n = len(suffix) if ended else len(suffix) - 1
             if n:
                 before = np.concatenate([[prior[0] if prior else -1], suffix[:-1]])
@@ -165,6 +171,8 @@ def _compare_suffixes(sorted_rows: DataFrame) -> DataFrame:
                     like_next[0] = True
                 same = like_before & (stretch == np.concatenate([[prior[1] if prior else -1], stretch[:-1]]))
                 source = np.concatenate([[prior[2] if prior else -1], doc[:-1]])
+                # rows of one id and one text are one occurrence, no repeat of each other
+                same &= (doc != source) | (row != np.concatenate([[prior[3] if prior else -1], row[:-1]])) | (lo != np.concatenate([[prior[4] if prior else -1], lo[:-1]]))
                 keep = (like_before | like_next)[:n]
                 # suffixes in a row that share one stretch are whole repeats of their first, whose windows nothing needs then
                 begin = np.nonzero(~like_before)[0]
@@ -172,90 +180,91 @@ def _compare_suffixes(sorted_rows: DataFrame) -> DataFrame:
                 first = first[stretch[first] == stretch[last]]
                 keep[first if prior else first[first > 0]] = False
                 if keep.any():
-                    cols = [x[:n][keep] for x in (doc, lo, count, _place(doc, lo))]
-                    yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in cols), pa.array(np.where(same, source, 0)[:n][keep], mask=~same[:n][keep])], names=["doc_id", "lo", "count", "place", "source"])
-                prior = (suffix[n - 1], stretch[n - 1], doc[n - 1])
+                    cols = [x[:n][keep] for x in (doc, row, lo, count, _place(doc, row, lo))]
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in cols), pa.array(np.where(same, source, 0)[:n][keep], mask=~same[:n][keep])], names=["doc_id", "row", "lo", "count", "place", "source"])
+                prior = tuple(x[n - 1] for x in (suffix, stretch, doc, row, lo))
             held = None if ended else [x[n:] for x in rows]
 
-    return sorted_rows.mapInArrow(run, "doc_id bigint, lo int, count int, place bigint, source bigint")
+    return sorted_rows.mapInArrow(run, "doc_id bigint, row bigint, lo int, count int, place bigint, source bigint")
 
 
 def _windows(docs: DataFrame, min_words: int, reach: int, places: np.ndarray) -> DataFrame:
-    """window, doc_id, start of all windows of the minimisers whose place ``places`` may hold."""
+    """window, doc_id, row, start of all windows of the minimisers whose place ``places`` may hold."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = Passages(min_words, reach)
         for batch in slices(it):
-            out: list[list[np.ndarray]] = [[], [], []]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            out: list[list[np.ndarray]] = [[], [], [], []]
+            for doc, text, row in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 if p.read(text):
-                    keep = maybe(places, _place(np.int64(doc), p.lo))
+                    keep = maybe(places, _place(np.int64(doc), np.int64(row), p.lo))
                     if keep.any():
                         n = p.count[keep]
                         start = np.repeat(p.lo[keep], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                         out[0].append(p.stretch(start, start + min_words))
                         out[1].append(np.full(len(start), doc, np.int64))
-                        out[2].append(start.astype(np.int32))
+                        out[2].append(np.full(len(start), row, np.int64))
+                        out[3].append(start.astype(np.int32))
             if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["window", "doc_id", "start"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["window", "doc_id", "row", "start"])
 
-    return docs.mapInArrow(run, "window bigint, doc_id bigint, start int")
+    return docs.mapInArrow(run, "window bigint, doc_id bigint, row bigint, start int")
 
 
 def _compare_windows(sorted_rows: DataFrame) -> DataFrame:
     """Of rows sorted by window and place: repeats with the neighbour's doc; and each partition's first and last row, marked."""
-    names = ["kind", "part", "window", "doc_id", "start", "source"]
+    names = ["kind", "part", "window", "doc_id", "row", "start", "source"]
 
-    def rows(kind: int, part: int, window, doc, start, source) -> pa.RecordBatch:  # noqa: ANN001
-        n = len(window)
-        return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int32)), pa.array(np.full(n, part, np.int32)), pa.array(window), pa.array(doc), pa.array(start), pa.array(source)], names=names)
+    def rows(kind: int, part: int, *columns: np.ndarray) -> pa.RecordBatch:
+        n = len(columns[0])
+        return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int32)), pa.array(np.full(n, part, np.int32)), *map(pa.array, columns)], names=names)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, last = TaskContext.get().partitionId(), None
         for batch in it:
             if not batch.num_rows:
                 continue
-            window, doc, start = (batch.column(i).to_numpy() for i in range(3))
+            window, doc, row, start = (batch.column(i).to_numpy() for i in range(4))
             if last is None:
-                yield rows(0, part, window[:1], doc[:1], start[:1], doc[:1])
-                last = (window[0] ^ 1, doc[0], start[0])
-            source = np.concatenate([[last[1]], doc[:-1]])
-            same = (window == np.concatenate([[last[0]], window[:-1]])) & ((doc != source) | (start != np.concatenate([[last[2]], start[:-1]])))
+                yield rows(0, part, window[:1], doc[:1], row[:1], start[:1], doc[:1])
+                last = (window[0] ^ 1, doc[0], row[0], start[0])
+            before = [np.concatenate([[x], c[:-1]]) for x, c in zip(last, (window, doc, row, start), strict=True)]
+            same = (window == before[0]) & ((doc != before[1]) | (row != before[2]) | (start != before[3]))
             if same.any():
-                yield rows(1, part, window[same], doc[same], start[same], source[same])
-            last = (window[-1], doc[-1], start[-1])
+                yield rows(1, part, window[same], doc[same], row[same], start[same], before[1][same])
+            last = (window[-1], doc[-1], row[-1], start[-1])
         if last is not None:
-            yield rows(2, part, *(np.array([x], t) for x, t in zip(last, (np.int64, np.int64, np.int32), strict=True)), np.array([last[1]], np.int64))
+            yield rows(2, part, *(np.array([x], t) for x, t in zip(last, (np.int64, np.int64, np.int64, np.int32), strict=True)), np.array([last[1]], np.int64))
 
-    return sorted_rows.mapInArrow(run, "kind int, part int, window bigint, doc_id bigint, start int, source bigint")
+    return sorted_rows.mapInArrow(run, "kind int, part int, window bigint, doc_id bigint, row bigint, start int, source bigint")
 
 
 def repeated_spans(df: DataFrame, min_words: int = 50, reach: int = 32, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, spans array<struct<a, b>> (word places, disjoint, sorted), source_ids of documents that have repeated passages."""
-    docs = keyed_text(df, key, text).where(F.col("doc_id").isNotNull())
+    """doc_id, row, spans array<struct<a, b>> (word places, disjoint, sorted), source_ids of documents that have repeated passages."""
+    docs = keyed_text(df, key, text).where(F.col("doc_id").isNotNull()).withColumn("row", _row(F.col("text")))
     kept = stored(_scan(docs, min_words, reach), "suffixes")
-    order = ["suffix", "stretch", "doc_id", "lo"]
+    order = ["suffix", "stretch", "doc_id", "row", "lo"]
     alike = stored(_compare_suffixes(kept.repartitionByRange(*order).sortWithinPartitions(*order)), "alike")
     discard(kept)
     places = collect_bitmap(alike.where(F.col("source").isNull()), F.col("place"))
     windows = stored(_windows(docs, min_words, reach, places), "windows")
-    order = ["window", "doc_id", "start"]
+    order = ["window", "doc_id", "row", "start"]
     compared = stored(_compare_windows(windows.repartitionByRange(*order).sortWithinPartitions(*order)), "compared")
     discard(windows)
     # a partition's first row repeats the last row before it if their windows are equal: two rows a partition meet here
     before = Window.orderBy("part", "kind")
-    ends = compared.where("kind <> 1").withColumns({c: F.lag(x).over(before) for c, x in (("w", "window"), ("d", "doc_id"), ("s", "start"))})
-    carried = ends.where("kind = 0 AND window = w AND (doc_id <> d OR start <> s)").select("doc_id", "start", F.col("d").alias("source"))
-    single = compared.where("kind = 1").select("doc_id", "start", "source").union(carried)
-    whole = alike.where(F.col("source").isNotNull()).select("doc_id", F.col("lo").alias("a"), (F.col("lo") + F.col("count") - 1 + min_words).alias("b"), "source")
-    found = single.select("doc_id", F.col("start").alias("a"), (F.col("start") + min_words).alias("b"), "source").union(whole)
+    ends = compared.where("kind <> 1").withColumns({c: F.lag(x).over(before) for c, x in (("w", "window"), ("d", "doc_id"), ("r", "row"), ("s", "start"))})
+    carried = ends.where("kind = 0 AND window = w AND (doc_id <> d OR row <> r OR start <> s)").select("doc_id", "row", "start", F.col("d").alias("source"))
+    single = compared.where("kind = 1").select("doc_id", "row", "start", "source").union(carried)
+    whole = alike.where(F.col("source").isNotNull()).select("doc_id", "row", F.col("lo").alias("a"), (F.col("lo") + F.col("count") - 1 + min_words).alias("b"), "source")
+    found = single.select("doc_id", "row", F.col("start").alias("a"), (F.col("start") + min_words).alias("b"), "source").union(whole)
     # a document's own intervals: no more than it has words
-    by_doc = found.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("s"), F.array_sort(F.collect_set("source")).alias("source_ids"))
+    by_doc = found.groupBy("doc_id", "row").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("s"), F.array_sort(F.collect_set("source")).alias("source_ids"))
 
     def merge(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(it):
             out = []
-            for pairs in batch.column(1).to_pylist():
+            for pairs in batch.column(2).to_pylist():
                 spans: list[list[int]] = []
                 for x in pairs:
                     if spans and x["a"] <= spans[-1][1]:
@@ -264,15 +273,15 @@ def repeated_spans(df: DataFrame, min_words: int = 50, reach: int = 32, key: str
                         spans.append([x["a"], x["b"]])
                 out.append([{"a": a, "b": b} for a, b in spans])
             kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind), batch.column(2)], names=["doc_id", "spans", "source_ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, kind), batch.column(3)], names=["doc_id", "row", "spans", "source_ids"])
 
-    return by_doc.mapInArrow(merge, "doc_id bigint, spans array<struct<a: int, b: int>>, source_ids array<bigint>")
+    return by_doc.mapInArrow(merge, "doc_id bigint, row bigint, spans array<struct<a: int, b: int>>, source_ids array<bigint>")
 
 
 def report(df: DataFrame, min_words: int = 50, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_repeated (words), n_spans, spans as 'a-b a-b', source_ids (documents with an earlier occurrence) of every row."""
     spans = repeated_spans(df, min_words, key=key, text=text)
-    rows = df.select(F.col(key).cast("bigint").alias("doc_id")).join(spans, "doc_id", "left")
+    rows = df.select(F.col(key).cast("bigint").alias("doc_id"), _row(F.col(text)).alias("row")).join(spans, ["doc_id", "row"], "left")
     words = F.aggregate("spans", F.lit(0), lambda n, s: n + s["b"] - s["a"])
     shown = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["a"].cast("string"), s["b"].cast("string"))), " ")
     return rows.select("doc_id", F.coalesce(words, F.lit(0)).cast("bigint").alias("n_repeated"), F.coalesce(F.size("spans"), F.lit(0)).cast("bigint").alias("n_spans"), F.coalesce(shown, F.lit("")).alias("spans"), F.coalesce("source_ids", F.array().cast("array<bigint>")).alias("source_ids"))
@@ -291,8 +300,8 @@ def cut_words(text: str, spans: list[dict]) -> str:
 
 def remove_repeats(df: DataFrame, min_words: int = 50, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df``, all columns, with repeated passages cut from the text."""
-    spans = repeated_spans(df, min_words, key=key, text=text).select(F.col("doc_id").alias("__id"), F.col("spans").alias("__spans"))
-    joined = df.join(spans, F.col(key).cast("bigint") == F.col("__id"), "left").select(*df.columns, "__spans")
+    spans = repeated_spans(df, min_words, key=key, text=text).select(F.col("doc_id").alias("__id"), F.col("row").alias("__row"), F.col("spans").alias("__spans"))
+    joined = df.join(spans, (F.col(key).cast("bigint") == F.col("__id")) & (_row(F.col(text)) == F.col("__row")), "left").select(*df.columns, "__spans")
     names = df.columns
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -126,6 +126,19 @@ def test_suffixes(spark, odd, none):
     assert suffixes.report(odd).count() == len(ODD) and suffixes.report(none).isEmpty()
 
 
+def test_suffixes_of_repeated_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(70)) for x in "abcd")
+    rows = [(7, a), (7, a), (5, b), (8, b), (8, c), (8, c), (9, c + " " + d), (9, d), (9, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    cut = sorted((r["doc_id"], r["text"] or "") for r in suffixes.remove_repeats(df).collect())
+    assert cut[:6] == [(5, b), (7, a), (7, a), (8, ""), (8, c), (8, c)]
+    left = [t.split() for i, t in cut if i == 9]
+    assert len(left) == 3 and sorted(sum(left, [])) == sorted(d.split())
+    got = sorted((r["doc_id"], r["n_repeated"], r["spans"], r["source_ids"]) for r in suffixes.report(df).collect())
+    assert got[:6] == [(5, 0, "", []), (7, 0, "", []), (7, 0, "", []), (8, 0, "", []), (8, 0, "", []), (8, 70, "0-70", [5])]
+    assert len(got) == 9 and sum(r[1] for r in got[6:]) == 140
+
+
 def test_toxicity_held_out(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.train(docs, labels)
