@@ -63,8 +63,8 @@ RULES = [
     ("GPL-3.0-only", "spdx-gpl-3"),
     ("LicenseRef-all-rights-reserved", "all-rights-reserved"),
 ]
-# Every known sentence holds one of these, so a text without any of them has no known sentence.
-CUES = "licens|permission|copyright|rights reserved|warranty|redistribution|public domain"
+# Every known sentence holds one of these within a word, which normalisation never changes, so a text without any of them has no known sentence.
+CUES = "licens|permission|copyright|reserved|warranty|redistribution|domain"
 SPLIT = r"[.!?;:]+[\x09-\x0D\x20]+|[\r\n]+"
 JUNK = r"[^a-z0-9.]+"
 

@@ -1,6 +1,7 @@
 """The ten operators against brute force, round trips and held-out accuracy, with odd inputs."""
 
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -44,6 +45,13 @@ def test_licenses(spark, odd, none):
     assert licenses.scan_licenses(odd).count() == len(ODD) and licenses.scan_licenses(none).isEmpty()
 
 
+def test_license_cues(spark):
+    assert all(re.search(licenses.CUES, s) for s in licenses.SENTENCES.values()) and " " not in licenses.CUES
+    rows = [(1, "All rights  reserved."), (2, "All rights\treserved."), (3, "This work is dedicated to the public-domain under CC0 1.0 Universal.")]
+    got = {r["doc_id"]: r["license"] for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: "LicenseRef-all-rights-reserved", 2: "LicenseRef-all-rights-reserved", 3: "CC0-1.0"}
+
+
 def test_pieces(docs, odd, none):
     model = public_tokenizers.path(queries.PIECE_MODEL)
     enc = pieces.MergeEncoder(model)
