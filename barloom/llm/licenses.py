@@ -1,9 +1,12 @@
 """Licence scans by sentence rules, with built-in SQL functions only.
 
-A text is cut into sentences, each is normalised and mapped to the identifier
-of a known licence sentence, and the sequence of identifiers is matched against
-licence rules in their order. Unknown sentences stay in the sequence as ``-``,
-so a rule matches only sentences that follow one another.
+A text is cut into fragments at sentence ends, line ends, ':' and ';'. Each is
+normalised, and a fragment, or a run of fragments that no sentence end or blank
+line parts, is mapped to the identifier of a known licence sentence; a list
+number before it is dropped. The sequence of identifiers is matched against
+licence rules in their order. Unknown fragments stay in the sequence as ``-``,
+so a rule matches only sentences that follow one another. The SQL knows
+sentences of one fragment only, and no list numbers.
 
 Null and empty texts give no sentences and no licence. Rows are kept one for
 one, repeated ids and rows included; other columns of the input are ignored.
@@ -11,6 +14,8 @@ one, repeated ids and rows included; other columns of the input are ignored.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,9 +74,22 @@ SPLIT = r"[.!?;:]+[\x09-\x0D\x20]+|[\r\n]+"
 JUNK = r"[^a-z0-9.]+"
 
 
+# Where no sentence goes on, marked by a fragment "|": sentence ends, and lines without letters and digits.
+END = r"(?<![.!?;:])[;:]*+[.!?][.!?;:]*+[\x09-\x0D\x20]+"
+BLANK = r"(?>\r\n|\r|\n)[^a-z0-9.!?;:\r\n]*[\r\n]"
+# In fragments joined by "_": a known sentence, in one fragment if it can be, with its list number; else one fragment.
+NUMBER = r"[0-9]{1,2}(?: |_(?:\|_)?)"
+KNOWN = "|".join(between.join(map(re.escape, words.split())) for between in (" ", "[ _]") for words in SENTENCES.values())
+TOKEN = rf"(?:{NUMBER})?(?:{KNOWN})(?![^_])|[^_]+"
+
+
 def _sentences(text: Column) -> Column:
-    cleaned = F.transform(F.split(F.lower(text), SPLIT, -1), lambda s: F.btrim(F.regexp_replace(s, JUNK, " "), F.lit(" .")))
-    return F.filter(cleaned, lambda s: s != "")
+    body = F.translate(F.lower(text), "|", ",")
+    for mark in (END, BLANK):
+        body = F.regexp_replace(body, mark, "\n|\n")
+    cleaned = F.transform(F.split(body, SPLIT, -1), lambda s: F.btrim(F.regexp_replace(s, JUNK.replace("a-z", "|a-z"), " "), F.lit(" .")))
+    tokens = F.regexp_extract_all(F.array_join(F.filter(cleaned, lambda s: s != ""), "_"), F.lit(TOKEN), F.lit(0))
+    return F.transform(F.filter(tokens, lambda s: s != "|"), lambda s: F.regexp_replace(F.translate(s, "_", " "), r"^[0-9]{1,2} (?:\| )?", ""))
 
 
 def _label(sentence: Column) -> Column:

@@ -52,6 +52,58 @@ def test_license_cues(spark):
     assert got == {1: "LicenseRef-all-rights-reserved", 2: "LicenseRef-all-rights-reserved", 3: "CC0-1.0"}
 
 
+NOTICES = {
+    "GPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.""",
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at""",
+}
+NOTICES["BSD-2-Clause"] = NOTICES["BSD-3-Clause"].split("\n\n3.")[0]
+
+
+def test_license_notices(spark):
+    want = {name: (text, name) for name, text in NOTICES.items()}
+    want |= {f"# {name}": ("#!/bin/sh\n#\n" + re.sub("(?m)^", "# ", text) + "\n\ncode();", name) for name, text in NOTICES.items()}
+    want |= {f"crlf {name}": (text.replace("\n", "\r\n"), name) for name, text in NOTICES.items()}
+    want |= {run: (f"Text.\n{licenses.SENTENCES[run].replace(' ', chr(10), 2)}.\nText", name) for name, run in licenses.RULES if " " not in run}
+    want |= {f"spdx {x}": (f"// SPDX-License-Identifier: {x}\ncode", x) for x in ("MIT", "Apache-2.0", "GPL-3.0-only")}
+    want |= {x: (x, "") for x in ("All rights\n\nreserved", "All rights. Reserved.", "SPDX-License-Identifier: MIT or other", "all rights |\n | \n reserved")}
+    names = list(want)
+    df = spark.createDataFrame([(i, want[x][0]) for i, x in enumerate(names)], "doc_id bigint, text string")
+    got = {names[r["doc_id"]]: r["license"] for r in licenses.scan_licenses(df).collect()}
+    assert got == {x: name for x, (_, name) in want.items()}
+
+
 def test_pieces(docs, odd, none):
     model = public_tokenizers.path(queries.PIECE_MODEL)
     enc = pieces.MergeEncoder(model)
