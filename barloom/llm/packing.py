@@ -32,6 +32,8 @@ from barloom.llm.common import keyed_text, slices, stored
 
 # Fixed value: how byte-level vocabularies of this family cut a text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Fixed value: the added tokens of the tokenizers file, which it finds in texts too.
+ADDED = {"<|endoftext|>": 50256}
 PIECES = "doc_id bigint, piece int, start bigint, length int, ids_crc32 bigint, part int, nth bigint"
 Pattern = tuple[tuple[int, ...], int]
 
@@ -40,7 +42,7 @@ def tokenizer(ranks_path: str) -> tiktoken.Encoding:
     """The vocabulary as merge ranks; gives the ids of the tokenizers file of the same vocabulary, several times faster."""
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("barloom", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("barloom", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=ADDED)
 
 
 def pieces(df: DataFrame, ranks_path: str, capacity: int = 2048, end_id: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -53,7 +55,7 @@ def pieces(df: DataFrame, ranks_path: str, capacity: int = 2048, end_id: int = 0
         for batch in slices(it):
             rows = []
             for doc, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.append(np.asarray(enc.encode_ordinary(body), "<u4"), np.uint32(end_id))
+                ids = np.append(np.asarray(enc.encode(body, allowed_special="all"), "<u4"), np.uint32(end_id))
                 cuts = [0, *range(len(ids) % capacity or capacity, len(ids) + 1, capacity)] if len(ids) > capacity else [0, len(ids)]
                 for n, (a, b) in enumerate(zip(cuts, cuts[1:])):
                     rows.append((doc, n, a, b - a, zlib.crc32(ids[a:b].tobytes()), part, seen[b - a]))

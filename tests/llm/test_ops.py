@@ -1,9 +1,11 @@
 """The ten operators against brute force, round trips and held-out accuracy, with odd inputs."""
 
+import json
 import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -263,6 +265,18 @@ def test_packing(docs, odd, none):
     assert packing.pack(odd, ranks).selectExpr("sum(length)").first()[0] > len(ODD) and packing.pack(none, ranks).isEmpty()
 
 
+def test_packing_added_tokens(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    hf, enc = Tokenizer.from_file(path), packing.tokenizer(public_tokenizers.path(queries.BYTE_RANKS))
+    assert {x["content"]: x["id"] for x in json.loads(Path(path).read_text())["added_tokens"]} == packing.ADDED
+    rows = list(enumerate(["end <|endoftext|> next", "<|endoftext|>", "a<|endoftext|><|endoftext|>\n\n b", "<|endoftext| >", "x <|ENDOFTEXT|>", "é  <|endoftext|>  é", "word <|endoftext|> " * 900]))
+    ids = {d: [*hf.encode(t, add_special_tokens=False).ids, 0] for d, t in rows}
+    assert all(enc.encode(t, allowed_special="all") == ids[d][:-1] for d, t in rows)
+    for r in packing.pack(spark.createDataFrame(rows, "doc_id bigint, text string"), public_tokenizers.path(queries.BYTE_RANKS), 512).collect():
+        part = np.array(ids[r["doc_id"]][r["start"] : r["start"] + r["length"]], "<u4")
+        assert zlib.crc32(part.tobytes()) == r["ids_crc32"] and len(part) == r["length"]
+
+
 def test_plan_uses_all_counts():
     rng = random.Random(1)
     for _ in range(20):
