@@ -28,6 +28,7 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes".split(
 HIDDEN = frozenset("head script style template noscript title meta link datalist iframe object svg canvas audio video select noembed noframes param".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr fieldset".split())
 BLOCK = SPACED | frozenset("html body address article aside details dialog dd div dt figcaption footer form header hgroup legend li main menu nav section summary center caption tr option optgroup".split())
+PARTS = frozenset("tbody thead tfoot tr td th".split())
 # What an opening tag closes, and the ancestors beyond which it does not look.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th", "caption", "colgroup"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select", "datalist"}), "optgroup": ({"option", "optgroup"}, {"select"})}
 CLOSES |= {t: ({"tr", "td", "th", "thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"}) for t in ("thead", "tbody", "tfoot")}
@@ -228,35 +229,52 @@ def _width(s: str) -> int:
     return len(s) if s.isascii() else sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in s)
 
 
-def _grid(table: Node) -> list[list[str]]:
+def _holds_parts(node: Node) -> bool:
+    """Whether rows or cells are below an element, other than those of a table in it."""
+    return any(k.tag in PARTS or (k.tag != "table" and _holds_parts(k)) for k in node.kids if isinstance(k, Node))
+
+
+def _grid(table: Node) -> tuple[list[list[str]], Node]:
+    """The rows of cells, also of those below forms and the like, and all that stands between the cells."""
     rows: list[list[str]] = []
+    loose = Node("#loose")
 
-    def walk(node: Node) -> None:
+    def walk(node: Node, cells: list[str] | None) -> None:
+        stray: list[Node | str] = []
         for kid in node.kids:
-            if isinstance(kid, Node) and visible(kid):
-                if kid.tag == "tr":
-                    cells = []
-                    for cell in kid.kids:
-                        if isinstance(cell, Node) and cell.tag in ("td", "th") and visible(cell):
-                            span = attributes(cell.attrs).get("colspan", "1")
-                            cells.append(" ".join(x.strip() for x in _rendered(cell) if x.strip()))
-                            cells += [""] * (min(int(span), 1000) - 1 if span.isascii() and span.isdigit() and int(span) > 1 else 0)
-                    rows.append(cells)
-                elif kid.tag in ("tbody", "thead", "tfoot"):
-                    walk(kid)
-
-    walk(table)
-    return [r for r in rows if any(r)]
-
-
-def _table(table: Node) -> list[str]:
-    rows = _grid(table)
+            if isinstance(kid, str):
+                stray.append(kid)
+            elif not visible(kid) or (kid.tag == "caption" and node is table):
+                continue
+            elif kid.tag in ("td", "th"):
+                if cells is None:
+                    rows.append(cells := [])
+                span = attributes(kid.attrs).get("colspan", "1")
+                cells.append(" ".join(x.strip() for x in _rendered(kid) if x.strip()))
+                cells += [""] * (min(int(span), 1000) - 1 if span.isascii() and span.isdigit() and int(span) > 1 else 0)
+            elif kid.tag == "tr":
+                rows.append([])
+                walk(kid, rows[-1])
+            elif kid.tag in PARTS or (kid.tag != "table" and _holds_parts(kid)):
+                walk(kid, cells)
+            else:
+                stray.append(kid)
+        if any(isinstance(x, Node) or x.strip() for x in stray):
+            loose.kids += [Node("br"), *stray] if loose.kids else stray
+
+    walk(table, None)
+    return [r for r in rows if any(r)], loose
+
+
+def _table(table: Node) -> tuple[list[str], list[str]]:
+    """Lines of what stands outside the cells, and of the cells."""
+    rows, loose = _grid(table)
     widths: list[int] = []
     for r in rows:
         widths += [0] * (len(r) - len(widths))
         for i, c in enumerate(r):
             widths[i] = max(widths[i], _width(c))
-    return ["  ".join(c + " " * (widths[i] - _width(c)) for i, c in enumerate(r)).rstrip() for r in rows]
+    return _rendered(loose), ["  ".join(c + " " * (widths[i] - _width(c)) for i, c in enumerate(r)).rstrip() for r in rows]
 
 
 def _rendered(node: Node) -> list[str]:
@@ -325,13 +343,11 @@ def _flow(node: Node, out: _Lines, depth: int) -> None:
         elif tag == "table":
             out.end(True)
             for caption in (c for c in kid.kids if isinstance(c, Node) and c.tag == "caption" and visible(c)):
-                out.put(_rendered(caption)) if _rendered(caption) else None
-            loose = Node("#loose")
-            loose.kids = [c for c in kid.kids if isinstance(c, str) or c.tag not in ("caption", "colgroup", "col", "tbody", "thead", "tfoot", "tr")]
-            if lines := _rendered(loose):
-                out.put(lines)
-            if lines := _table(kid):
-                out.put(lines)
+                if lines := _rendered(caption):
+                    out.put(lines)
+            for lines in _table(kid):
+                if lines:
+                    out.put(lines)
             out.end(True)
         elif tag in ("dd", "blockquote"):
             out.end(tag == "blockquote")

@@ -128,6 +128,24 @@ def test_html_layout(spark):
     assert html.extract_text(df).count() == 3
 
 
+def test_html_text_between_cells():
+    for page, want in [
+        ("<table><tr><form><td>x</td></form></tr></table>", "x"),
+        ("<table><tr>text<td>x</td></tr></table>", "text\nx"),
+        ("<table><tr><td>a</td></tr>tail</table>", "tail\na"),
+        ("<table><tr><b>one</b><td>a<tr>two<td>b</table>", "one\ntwo\na\nb"),
+        ("<table><form><tr><td>a<td>b<tr><td>c</form></table>", "a  b\nc"),
+        ("<table><tr><form hidden><td>no</td></form><td>a<table><tr>in<td>b</table></table>", "a in b"),
+        ("<table><caption>k</caption><colgroup>c</colgroup><tbody><p>p</p><tr><td>a</table>", None),
+    ]:
+        got = html.render(page)
+        assert got == want if want else sorted(got.split()) == ["a", "c", "k", "p"], page
+    for depth in range(185, 205):
+        page = "<div>" * depth + "<table><caption>c1</caption><tr>c2<td>c3<td><ul><li>c4</ul></tr><tr><td>c5</table>c6"
+        assert sorted(re.findall(r"c\d", html.render(page))) == [f"c{i}" for i in range(1, 7)], depth
+    assert html.render("<table><caption>" * 60 + "x") == "x"
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(0)
     base = rng.normal(size=(90, 8))
