@@ -265,20 +265,24 @@ def pack(payload: bytes) -> bytes:
     return b"".join(encode_gray(samples[a : a + ROWS]) for a in range(0, len(samples), ROWS))
 
 
-def unpack(media: bytes) -> tuple[bytes, str]:
-    """Payload and feature: width x height, count of images, mean level and an 8 x 8 average hash of the first thumbnail."""
-    at, parts = 0, []
-    while at < len(media):
-        width, height, thumb, at = decode_jpeg(media, at)
-        parts.append((width, height, thumb))
-    payload = b"".join(t.tobytes() for _, _, t in parts)
-    width, height, thumb = parts[0]
+def average_hash(thumb: np.ndarray) -> str:
+    """An 8 x 8 average hash of a thumbnail."""
     rows = np.linspace(0, len(thumb), 9).astype(int)[:-1]
     sums = np.add.reduceat(np.add.reduceat(thumb.astype(np.int64), np.minimum(rows, len(thumb) - 1), 0), np.arange(0, UNIT, 8), 1)
     share = np.maximum(np.diff(np.append(rows, len(thumb))), 1)[:, None] * (UNIT // 8)
     cells = sums * 1000 // share
-    bits = np.packbits(cells >= int(cells.mean())).tobytes().hex()
-    return payload, f"{width}x{height}:{len(parts)}:{bits}"
+    return np.packbits(cells >= int(cells.mean())).tobytes().hex()
+
+
+def unpack(media: bytes) -> tuple[bytes, str]:
+    """Payload and feature: width x height of every image, count of images, and average hashes of all their thumbnails."""
+    at, sizes, thumbs = 0, [], []
+    while at < len(media):
+        width, height, thumb, at = decode_jpeg(media, at)
+        sizes.append(f"{width}x{height}")
+        thumbs.append(thumb)
+    payload = b"".join(t.tobytes() for t in thumbs)
+    return payload, f"{'+'.join(sizes)}:{len(thumbs)}:{'+'.join(map(average_hash, thumbs))}"
 
 
 def media_column(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -318,6 +318,17 @@ def test_media_round_trip(docs, odd, none):
     assert both and media.store_and_read(none).isEmpty()
 
 
+def test_media_of_several_images():
+    rng = random.Random(4)
+    head = "".join(rng.choice("ab cdé世") for _ in range(400_000)).encode()[: media.ROWS * media.UNIT]
+    texts = [head + tail for tail in (b"", b"a" * 2000 + b"~" * 2000, b"~" * 2000 + b"a" * 2000)]
+    got = [media.unpack(media.pack(media.padded(t))) for t in texts]
+    assert [p for p, _ in got] == [media.padded(t) for t in texts]
+    assert [f.split(":")[:2] for _, f in got] == [["512x65528", "1"], ["512x65528+512x504", "2"], ["512x65528+512x504", "2"]]
+    hashes = [f.split(":")[2].split("+") for _, f in got]
+    assert hashes[0][0] == hashes[1][0] == hashes[2][0] and hashes[1][1] != hashes[2][1]
+
+
 def test_media_by_symbol(monkeypatch):
     samples = np.random.default_rng(0).integers(0, 256, (6, 64), dtype=np.uint8)
     image = media.encode_gray(samples)
