@@ -1,13 +1,13 @@
-"""Suffix-array dedup: repeated passages by sparse suffix arrays.
+"""Suffix dedup: repeated passages by hashes of suffixes at minimisers and of windows around them.
 
 A passage counts when at least ``min_words`` words (50) occur word for word at
 an earlier place, in a smaller doc_id or earlier in the same text. Suffixes are
 kept only at minimisers, the word groups with the least hash among ``reach``
 neighbours, so that two equal passages keep suffixes at equal places. The kept
-suffixes are sorted across the cluster by their first words, and neighbours are
-compared: a suffix unlike both neighbours is dropped. What is left is extended
-left and right: every window of ``min_words`` words that a minimiser stands for
-is compared with its neighbours in a second sort, except where the whole stretch
+suffixes are sorted across the cluster by a hash of their first words, which is
+no suffix order, and neighbours are compared: a suffix unlike both neighbours is dropped. What is left is extended
+left and right: the hash of every window of ``min_words`` words that a minimiser
+stands for is compared with its neighbours in a second sort, except where the whole stretch
 around the suffix equals the neighbour's already. Both sorts are range
 partitioned by content, document and place, so equal passages, however many,
 spread over tasks, and the comparison carries across partition borders.
