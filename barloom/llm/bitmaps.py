@@ -7,6 +7,7 @@ not" or "maybe": where it fills up, less is skipped and results stay the same.
 from __future__ import annotations
 
 import numpy as np
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +23,11 @@ def collect_bitmap(df: DataFrame, key: Column) -> np.ndarray:
     return out
 
 
+def shared_bitmap(df: DataFrame, key: Column) -> Broadcast:
+    """The bitmap of all keys as a broadcast, which its user destroys when the last job that reads it is over."""
+    return df.sparkSession.sparkContext.broadcast(collect_bitmap(df, key))
+
+
 def maybe(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """False where a key (non-negative int64) is surely not in the bitmap."""
     k = keys.astype(np.int64)

@@ -19,30 +19,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or one set here when unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Only a session of one process may leave it unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
     if held.isDefined():
         return held.get()
-    made = tempfile.mkdtemp(prefix="barloom-")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    made = tempfile.mkdtemp(prefix="barloom-")  # driver and executors are one process here, as in tests
     spark.sparkContext.setCheckpointDir(f"file://{made}")
     return f"file://{made}"
 
 
-BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
 
 
 @contextlib.contextmanager
-def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
-    """Arrow batches of at most so many rows for the jobs run inside: rows may carry whole texts or sets."""
-    before = spark.conf.get(BATCH)
-    spark.conf.set(BATCH, min(rows, int(before)) if int(before) > 0 else rows)
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of few rows and bytes for the jobs run inside: rows may carry whole texts or sets.
+
+    A setting of the session: a query that runs beside meanwhile has small batches too, and the same rows.
+    """
+    before = {k: spark.conf.get(k, None) for k in BATCH}
+    for k, v in BATCH.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(BATCH, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -83,6 +90,11 @@ def slices(it: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordB
     for batch in it:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    returned()
+
+
+def returned() -> None:
+    """Gives memory that this process has freed back to the machine."""
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)

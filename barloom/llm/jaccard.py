@@ -12,41 +12,47 @@ lists last; pairs must also fit by size and by place in the prefix. The boundary
 is where the counts of subsets and of list entries by size cost least.
 
 Lists do not make all pairs. First sets are compared with the pivot of their
-lists, the largest set of those with the fewest rarer shingles, which links
-groups of near copies as stars. After that only sets of different components are compared: in
+lists, which links groups of near copies as stars. A list's pivot is the set with
+the fewest rare shingles, of these the largest, so lists that hold the same sets
+agree on it. After that only sets of different components are compared: in
 lists under ``HOT`` members, all that fit by size and place; in longer lists, by
 what each set shares with a core, the pivot and all that ``HOT`` or more of its
 sets share beside it. If two sets share nothing outside the core, they share no
-more than either shares with it, so sizes decide; if they do, they meet in the
+more than either shares with it, so sizes and shares decide, first for classes
+of sets of one size and share; if they do, they meet in the
 short list of a shingle that the core lacks. No link between components is lost.
 
+Shingles are compared as 63-bit hashes: two sets of n and m shingles are taken
+to share one that they do not with a chance under n * m / 2**63.
+
 Texts without words, or null, have empty sets and link with nothing. Rows are
-kept one for one. Rows of a repeated id count as one document for links. Rows
-with a null id keep their set's size and have a null component. Other columns are
-ignored.
+kept one for one. Rows of a repeated id count as one document: what one of its
+texts links with, all do. Rows with a null id keep their set's size and have a
+null component. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.bitmaps import collect_bitmap, id_key, maybe
+from barloom.llm.bitmaps import id_key, maybe, shared_bitmap
 from barloom.llm.common import cut, discard, keyed_text, slices, stored
 from barloom.llm.components import components
 
 # Odd multipliers that mix the words of a shingle.
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 HOT = 32  # lists at least so long come last in the order of shingles
-LIGHTEST = 16  # subsets are counted, and used, up to this size at most
 SALTS = 16
 PARITY = 512  # bits of a set's parity signature: their differences never exceed those of the sets
 
@@ -133,12 +139,23 @@ def subset_count(n: int, limit: Threshold, boundary: int) -> int:
 
 
 def choose_boundary(sizes: dict[int, int], list_length: float, limit: Threshold) -> int:
-    """The boundary of least cost: subsets of light sets, against prefix entries of the others times the sets met in a list."""
+    """The boundary of least cost: subsets of light sets, against prefix entries of the others times the sets met in a list.
+
+    Boundaries are tried as long as one set's subsets cost less than all lists do.
+    """
+    listed = {n: c * limit.prefix(n) * (1 + list_length) for n, c in sizes.items() if n}
+    total = sum(listed.values())
 
     def cost(b: int) -> float:
-        return sum(c * (subset_count(n, limit, b) if n <= b else limit.prefix(n) * (1 + list_length)) for n, c in sizes.items() if n)
+        return sum(c * subset_count(n, limit, b) if n <= b else listed[n] for n, c in sizes.items() if n)
 
-    return min(range(LIGHTEST + 1), key=lambda b: (cost(b), b))
+    best, least = 0, total
+    for b in sorted(listed):
+        if subset_count(b, limit, b) > total:
+            break
+        if (now := cost(b)) < least:
+            best, least = b, now
+    return best
 
 
 def _stars(postings: DataFrame) -> DataFrame:
@@ -150,34 +167,43 @@ def _stars(postings: DataFrame) -> DataFrame:
 
 def _light(sets: DataFrame, limit: Threshold, boundary: int) -> DataFrame:
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs, ns, keys, equal = [], [], [], []
+
+        def flush() -> pa.RecordBatch:
+            cols = [pa.array(c, t) for c, t in zip((docs, ns, keys, equal), (pa.int64(), pa.int32(), pa.binary(), pa.bool_()), strict=True)]
+            for c in (docs, ns, keys, equal):
+                c.clear()
+            return pa.RecordBatch.from_arrays(cols, names=["doc_id", "n", "key", "equal"])
+
         for batch in slices(it):
-            docs, ns, keys, equal = [], [], [], []
             for doc, n, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 s = np.array(s, np.int64)
                 for m in range(limit.smallest(n), min(boundary, n * limit.whole // limit.part) + 1):
                     c = limit.overlap(n, m)
                     if c <= min(n, m):
-                        head = bytes([min(n, m), max(n, m)])
+                        head = struct.pack("<2I", min(n, m), max(n, m))
                         for pick in combinations(range(n), c):
                             docs.append(doc)
                             ns.append(n)
                             keys.append(hashlib.blake2b(head + s[list(pick)].tobytes(), digest_size=12).digest())
                             equal.append(n == m)
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(ns, pa.int32()), pa.array(keys, pa.binary()), pa.array(equal, pa.bool_())], names=["doc_id", "n", "key", "equal"])
+                            if len(docs) >= 50_000:
+                                yield flush()
+        yield flush()
 
     return sets.where(F.col("n").between(1, boundary)).select("doc_id", "n", "set").mapInArrow(run, "doc_id bigint, n int, key binary, equal boolean")
 
 
-def _postings(sets: DataFrame, limit: Threshold, boundary: int, hot: np.ndarray, shared: np.ndarray) -> DataFrame:
-    """shingle, doc_id, n, place, most (largest partner): prefix entries of sets that a heavy set can link with."""
+def _postings(sets: DataFrame, limit: Threshold, boundary: int, hot: Broadcast, shared: Broadcast) -> DataFrame:
+    """shingle, doc_id, n, place, most (largest partner), rare (the set's rare shingles): prefix entries of sets that a heavy set can link with."""
     top, least = int(limit.low() * 2**63), limit.smallest(boundary + 1)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             docs, ns = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
             values, at = batch.column(2).values.to_numpy(), batch.column(2).offsets.to_numpy()  # offsets count from the values' start, in slices too
-            is_hot, is_shared = maybe(hot, values), maybe(shared, values)
-            out: list[list[np.ndarray]] = [[], [], [], []]
+            is_hot, is_shared = maybe(hot.value, values), maybe(shared.value, values)
+            out: list[list[np.ndarray]] = [[], [], [], [], []]
             for i, (doc, n) in enumerate(zip(docs, ns)):
                 a, b = at[i], at[i + 1]
                 late = np.where(values[a:b] >= top, 2, is_hot[a:b])
@@ -188,21 +214,22 @@ def _postings(sets: DataFrame, limit: Threshold, boundary: int, hot: np.ndarray,
                     out[1].append(np.full(len(place), doc))
                     out[2].append(np.full(len(place), n))
                     out[3].append(place)
+                    out[4].append(np.full(len(place), np.count_nonzero(late == 0)))
             if out[0]:
-                token, doc, n, place = (np.concatenate(x).astype(np.int64) for x in out)
+                token, doc, n, place, rare = (np.concatenate(x).astype(np.int64) for x in out)
                 most = (n - place) * (limit.part + limit.whole) // limit.part - n
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (token, doc, n, place, most)], names=["shingle", "doc_id", "n", "place", "most"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (token, doc, n, place, most, rare)], names=["shingle", "doc_id", "n", "place", "most", "rare"])
 
-    return sets.where(F.col("n") >= least).select("doc_id", "n", "low").mapInArrow(run, "shingle bigint, doc_id bigint, n bigint, place bigint, most bigint")
+    return sets.where(F.col("n") >= least).select("doc_id", "n", "low").mapInArrow(run, "shingle bigint, doc_id bigint, n bigint, place bigint, most bigint, rare bigint")
 
 
-def _full_sets(docs: DataFrame, limit: Threshold, wanted: np.ndarray) -> DataFrame:
+def _full_sets(docs: DataFrame, limit: Threshold, wanted: Broadcast) -> DataFrame:
     """doc_id, set (packed sorted hashes) of the documents that ``wanted`` may hold."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(limit.words)
         for batch in slices(it):
-            keep = batch.filter(pa.array(maybe(wanted, batch.column(2).to_numpy(zero_copy_only=False))))
+            keep = batch.filter(pa.array(maybe(wanted.value, batch.column(2).to_numpy(zero_copy_only=False))))
             if keep.num_rows:
                 sets = [shingler.shingles(t).tobytes() for t in keep.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([keep.column(0), pa.array(sets, pa.binary())], names=["doc_id", "set"])
@@ -210,13 +237,16 @@ def _full_sets(docs: DataFrame, limit: Threshold, wanted: np.ndarray) -> DataFra
     return docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text", id_key("doc_id").alias("k")).mapInArrow(run, "doc_id bigint, set binary")
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """For pairs (a, b, hot): na, nb, the overlap, and of hot pairs the shingles of b that a lacks."""
-    names = ["a", "b", "na", "nb", "overlap", "extra"]
+def _overlaps(pairs: DataFrame, sets: DataFrame, limit: Threshold, shared: Broadcast | None = None) -> DataFrame:
+    """For pairs (a, b, hot): na, nb, the overlap, and of hot pairs what b has beside a.
+
+    ``extra`` holds the shingles that another set may hold too; ``alone`` counts the others, which no list holds.
+    """
+    names, top = ["a", "b", "na", "nb", "overlap", "extra", "alone"], int(limit.low() * 2**63)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(it):
-            na, nb, overlap, extra = [], [], [], []
+            na, nb, overlap, extra, alone = [], [], [], [], []
             for hot, x, y in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4), strict=True):
                 p, q = np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64)
                 at = np.searchsorted(p, q)
@@ -225,13 +255,16 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 na.append(len(p))
                 nb.append(len(q))
                 overlap.append(int(both.sum()))
-                extra.append(q[~both] if hot else None)
+                more = q[~both] if hot else None
+                known = (more >= top) | maybe(shared.value, more) if hot else None
+                extra.append(more[known] if hot else None)
+                alone.append(int((~known).sum()) if hot else None)
             cols = [pa.array(x, pa.int64()) for x in (na, nb, overlap)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols, pa.array(extra, pa.list_(pa.int64()))], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols, pa.array(extra, pa.list_(pa.int64())), pa.array(alone, pa.int64())], names=names)
 
     left = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b")), "b")
     both = left.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a")), "a")
-    return both.select("a", "b", "hot", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint, overlap bigint, extra array<bigint>")
+    return both.select("a", "b", "hot", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint, overlap bigint, extra array<bigint>, alone bigint")
 
 
 def _plausible(pairs: DataFrame, slim: DataFrame, limit: Threshold) -> DataFrame:
@@ -258,7 +291,7 @@ def jaccard_components(df: DataFrame, limit: Threshold = Threshold(85), key: str
     named = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("digest", "rep", "members", F.coalesce("component", "rep").alias("component_id"))
     named = cut(named)
     sized = slim.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "digest")
-    own = sized.join(named.select(F.col("rep").alias("doc_id"), F.col("digest").alias("own"), "component_id"), "doc_id", "left")
+    own = sized.join(named.select(F.col("rep").alias("doc_id"), "digest", "component_id"), ["doc_id", "digest"], "left")
     done = own.where(F.col("component_id").isNotNull() | F.col("digest").isNull() | F.col("doc_id").isNull())
     done = done.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     rest = own.where(F.col("component_id").isNull() & F.col("digest").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "n_shingles", "digest")
@@ -267,26 +300,34 @@ def jaccard_components(df: DataFrame, limit: Threshold = Threshold(85), key: str
     return done.unionByName(copies.select("doc_id", "n_shingles", "component_id"))
 
 
+def _one_id(known: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges (a, b) between the representatives of all texts that one id holds; ids of one text give none."""
+    held = known.select("doc_id", "digest").groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi").select("doc_id")
+    reps = known.select("doc_id", "digest").join(held, "doc_id").join(classes, "digest").select("doc_id", "rep").distinct()
+    return reps.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+
+
 def _links(docs: DataFrame, base: DataFrame, slim: DataFrame, limit: Threshold) -> tuple[DataFrame, DataFrame]:
     """Edges (a, b) that connect all linked representatives, and the classes of equal sets (digest, rep, members).
 
     Steps are stored as Parquet, and what no later step reads is removed on the way.
     """
-    classes = cut(slim.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("members")))
+    has_set = F.col("digest").isNotNull() & F.col("doc_id").isNotNull()
+    classes = cut(slim.where(has_set).groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("members")))
     reps = classes.select(F.col("rep").alias("doc_id")).distinct()
-    known = base.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
+    known = base.where(has_set)
 
     lists = known.select(F.explode("low").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
     lists = stored(lists, "lists")
-    shared, hot = collect_bitmap(lists, F.col("shingle")), collect_bitmap(lists.where(F.col("df") >= HOT), F.col("shingle"))
+    shared, hot = shared_bitmap(lists, F.col("shingle")), shared_bitmap(lists.where(F.col("df") >= HOT), F.col("shingle"))
     mean = lists.where(F.col("df") < HOT).select(F.sum(F.col("df") * F.col("df")) / F.sum("df")).first()[0]
-    sizes = {r["n"]: r["c"] for r in slim.where(F.col("n") <= LIGHTEST).groupBy("n").agg(F.count("*").alias("c")).collect()}
-    boundary = choose_boundary(sizes, mean or 0.0, limit)
+    discard(lists)
+    boundary = _boundary(slim, mean or 0.0, limit)
 
     entries = stored(_postings(known, limit, boundary, hot, shared).join(reps, "doc_id", "left_semi"), "entries")
+    hot.destroy()
     discard(base)
-    discard(lists)
-    heads = entries.groupBy("shingle").agg(F.min(F.struct("place", -F.col("n"), "doc_id", "n")).alias("pivot"), F.count("*").alias("members"), F.min("n").alias("least"))
+    heads = entries.groupBy("shingle").agg(F.min(F.struct("rare", -F.col("n"), "doc_id", "n")).alias("pivot"), F.count("*").alias("members"), F.min("n").alias("least"))
     heads = cut(heads.where("members > 1"))
     live = entries.join(heads, "shingle").where(F.col("most") >= F.col("least"))
     live = live.select("shingle", entries["doc_id"], entries["n"], "place", "most", F.col("pivot.doc_id").alias("p"), F.col("pivot.n").alias("pn"), (F.col("members") >= HOT).alias("hot"))
@@ -304,10 +345,17 @@ def _links(docs: DataFrame, base: DataFrame, slim: DataFrame, limit: Threshold)
 
     light = slim.where(F.col("n").between(1, boundary)).select("doc_id").join(reps, "doc_id", "left_semi")
     ends = stars.select("a").union(stars.select("b"))
-    sets = stored(_full_sets(docs, limit, collect_bitmap(ends.union(light), id_key(ends.columns[0]))), "full")
-    unpacked = sets.withColumn("n", (F.octet_length("set") / 8).cast("int")).where(F.col("n") <= boundary).join(light, "doc_id", "left_semi")
-    edges = _stars(stored(_light(_unpack(unpacked), limit, boundary), "subsets")) if boundary else stars.select("a", "b").limit(0)
-    met = stored(_overlaps(stars, sets), "overlaps")
+    wanted = shared_bitmap(ends.union(light) if boundary else ends, id_key("a"))
+    sets = stored(_full_sets(docs, limit, wanted), "full")
+    wanted.destroy()
+    edges = _one_id(slim.where(has_set), classes)
+    if boundary:
+        unpacked = sets.withColumn("n", (F.octet_length("set") / 8).cast("int")).where(F.col("n") <= boundary).join(light, "doc_id", "left_semi")
+        subsets = stored(_light(_unpack(unpacked), limit, boundary), "subsets")
+        edges = cut(edges.union(_stars(subsets)))
+        discard(subsets)
+    met = stored(_overlaps(stars, sets, limit, shared), "overlaps")
+    shared.destroy()
     found = cut(met.where(_linked(limit)).select("a", "b").union(edges))
     discard(sets)
     label = cut(components(found).withColumnRenamed("node", "doc_id"))
@@ -323,34 +371,44 @@ def _links(docs: DataFrame, base: DataFrame, slim: DataFrame, limit: Threshold)
     def twice(rows: DataFrame, keys: list[str], *columns: str) -> DataFrame:
         return rows.join(rows.select(*keys, *(F.col(c).alias(f"{c}_") for c in columns)), keys).where("c <> c_")
 
-    # short lists: the smaller or equal set of a pair is found by a shorter prefix
-    short = stored(mixed(stored(labelled(live.where("NOT hot").select("shingle", "doc_id", "n", "place", "most")), "named"), "shingle"), "short")
+    # lists that still hold several components
+    named = stored(labelled(live.drop("pn")), "named")
     discard(live)
+    lists = stored(mixed(named, "shingle"), "mixed")
+    discard(named)
+
+    # short lists: the smaller or equal set of a pair is found by a shorter prefix
+    short = lists.where("NOT hot").select("shingle", "doc_id", "n", "place", "most", "c")
     role = F.lit(limit.part + limit.whole) * (F.col("n_") - F.col("place_")) >= F.lit(2 * limit.part) * F.col("n_")
     order = (F.col("n_") < F.col("n")) | ((F.col("n_") == F.col("n")) & (F.col("doc_id_") < F.col("doc_id")))
     pairs = twice(short, ["shingle"], "doc_id", "n", "place", "most", "c").where(order & role & fits(F.col("n"), F.col("n_")) & (F.col("n") <= F.col("most_")) & (F.col("n_") <= F.col("most"))).select("doc_id", "doc_id_").distinct()
 
-    outside = met.where("extra IS NOT NULL").select("a", F.col("b").alias("doc_id"), F.col("nb").alias("n"), F.explode("extra").alias("shingle"))
-    outside = stored(labelled(outside), "outside")
+    # long lists: what their sets have of their pivots and beside them
+    beside = lists.where("hot AND doc_id <> p").select(F.col("p").alias("a"), F.col("doc_id").alias("b")).distinct()
+    members = met.where("extra IS NOT NULL").join(beside, ["a", "b"], "left_semi").select("a", F.col("b").alias("doc_id"), F.col("nb").alias("n"), "na", "overlap", "alone", "extra")
+    members = stored(labelled(members), "members")
+    outside = members.select("a", "doc_id", "n", "c", "alone", F.explode("extra").alias("shingle"))
     tally = cut(outside.groupBy("a", "shingle").agg(F.count("*").alias("members"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("members > 1"))
     core = outside.join(tally.where(F.col("members") >= HOT).select("a", "shingle"), ["a", "shingle"]).groupBy("a", "doc_id").agg(F.count("*").alias("more"))
-
-    # long lists, nothing shared outside the core: what two sets share is at most what either shares with it
-    around = labelled(met.where("extra IS NOT NULL").select("a", F.col("b").alias("doc_id"), F.col("nb").alias("n"), "overlap"))
-    around = around.join(core, ["a", "doc_id"], "left").withColumn("overlap", F.col("overlap") + F.coalesce("more", F.lit(0))).select("a", "doc_id", "n", "overlap", "c")
-    own = met.where("extra IS NOT NULL").select("a", F.col("a").alias("doc_id"), F.col("na").alias("n"), F.col("na").alias("overlap")).distinct()
+    around = members.select("a", "doc_id", "n", "overlap", "c").join(core, ["a", "doc_id"], "left").select("a", "doc_id", "n", "c", (F.col("overlap") + F.coalesce("more", F.lit(0))).alias("inside"))
+    own = members.groupBy("a").agg(F.first("na").alias("n")).select("a", F.col("a").alias("doc_id"), "n", F.col("n").alias("inside"))
     around = stored(around.unionByName(labelled(own)), "around")
-    kinds = cut(around.groupBy("a", "c", "n", "overlap").agg(F.count("*").alias("size")).select("a", *(F.col(c).alias(f"{c}_") for c in ("c", "n", "overlap"))))
-    need = F.lit(limit.part) * (F.col("n") + F.col("n_")) <= F.lit(limit.part + limit.whole) * F.least("overlap", "overlap_")
-    band = around.join(kinds, "a").where((F.col("c") != F.col("c_")) & need & fits(F.col("n"), F.col("n_"))).select("a", "doc_id", "c_", "n_", "overlap_")
-    band = cut(band).join(around.select("a", *(F.col(c).alias(f"{c}_") for c in ("doc_id", "c", "n", "overlap"))), ["a", "c_", "n_", "overlap_"]).select("doc_id", "doc_id_")
-
-    # long lists, something shared outside the core: prefixes again, of what a set has beside the core, rarest first
-    short_of = around.select("a", "doc_id", F.col("overlap").alias("inside"))
-    beside = outside.join(tally.select("a", "shingle", "members", "lo", "hi"), ["a", "shingle"], "left").where(F.coalesce("members", F.lit(1)) < HOT)
-    rank = F.row_number().over(Window.partitionBy("a", "doc_id").orderBy(F.coalesce("members", F.lit(1)), "shingle"))
+
+    # nothing shared outside the core: what two sets share is at most what either shares with it; first by classes of size and share
+    kinds = around.where(F.lit(limit.whole) * F.col("inside") >= F.lit(limit.part) * F.col("n")).groupBy("a", "n", "inside").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+    kinds = cut(kinds)
+    others = kinds.select("a", *(F.col(c).alias(f"{c}_") for c in ("n", "inside", "lo", "hi")))
+    need = F.lit(limit.part) * (F.col("n") + F.col("n_")) <= F.lit(limit.part + limit.whole) * F.least("inside", "inside_")
+    several = (F.col("lo") != F.col("lo_")) | (F.col("hi") != F.col("hi_")) | (F.col("lo") != F.col("hi"))
+    alike = cut(kinds.join(others, "a").where(need & several & fits(F.col("n"), F.col("n_"))).select("a", "n", "inside", "n_", "inside_"))
+    band = around.join(alike, ["a", "n", "inside"]).join(around.select("a", *(F.col(c).alias(f"{c}_") for c in ("doc_id", "c", "n", "inside"))), ["a", "n_", "inside_"])
+    band = band.where("c <> c_ AND doc_id < doc_id_").select("doc_id", "doc_id_").distinct()
+
+    # something shared outside the core: prefixes again, of what a set has beside the core, rarest first
+    outside = outside.join(tally, ["a", "shingle"], "left").where(F.coalesce("members", F.lit(1)) < HOT)
+    rank = F.col("alone") + F.row_number().over(Window.partitionBy("a", "doc_id").orderBy(F.coalesce("members", F.lit(1)), "shingle"))
     first = F.col("n") - F.ceil(F.lit(limit.part) * F.col("n") / F.lit(limit.whole)) + 1
-    beside = beside.withColumn("rank", rank).where((F.col("rank") <= first) & (F.col("lo") < F.col("hi"))).join(short_of, ["a", "doc_id"])
+    beside = outside.withColumn("rank", rank).where((F.col("rank") <= first) & (F.col("lo") < F.col("hi"))).join(around.select("a", "doc_id", "inside"), ["a", "doc_id"])
     beside = beside.select("a", "shingle", "doc_id", "n", "c", "inside", (F.col("n") - F.col("inside") - F.col("rank") + 1).alias("left"))
     beside = stored(beside, "beside")
     reach = F.lit(limit.part) * (F.col("n") + F.col("n_")) <= F.lit(limit.part + limit.whole) * (F.least("inside", "inside_") + F.least("left", "left_"))
@@ -359,9 +417,26 @@ def _links(docs: DataFrame, base: DataFrame, slim: DataFrame, limit: Threshold)
     pairs = pairs.union(band).union(beyond).select(F.least("doc_id", "doc_id_").alias("a"), F.greatest("doc_id", "doc_id_").alias("b")).distinct()
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = cut(_plausible(pairs.join(tried, ["a", "b"], "left_anti"), slim, limit).withColumn("hot", F.lit(False)))
-    ends = pairs.select("a").union(pairs.select("b"))
-    sets = stored(_full_sets(docs, limit, collect_bitmap(ends, id_key("a"))), "full")
-    return cut(found.union(_overlaps(pairs, sets).where(_linked(limit)).select("a", "b"))), classes
+    for used in (lists, met, members, around, beside):
+        discard(used)
+    wanted = shared_bitmap(pairs.select("a").union(pairs.select("b")), id_key("a"))
+    sets = stored(_full_sets(docs, limit, wanted), "full")
+    wanted.destroy()
+    links = cut(found.union(_overlaps(pairs, sets, limit).where(_linked(limit)).select("a", "b")))
+    discard(sets)
+    return links, classes
+
+
+def _boundary(slim: DataFrame, list_length: float, limit: Threshold) -> int:
+    """The boundary of least cost for the sizes of all sets; sizes beyond any that could be light come as one row."""
+    n = F.col("n").cast("bigint")
+    prefix = n - F.ceil(F.lit(limit.part) * n / F.lit(limit.whole)) + 1
+    total = (slim.where("n > 0").select(F.sum(prefix)).first()[0] or 0) * (1 + list_length)
+    top = 1
+    while subset_count(top, limit, top) <= total:
+        top += 1
+    sizes = {r["n"]: r["c"] for r in slim.where(F.col("n").between(1, top)).groupBy("n").agg(F.count("*").alias("c")).collect()}  # at most ``top`` rows
+    return choose_boundary(sizes, list_length, limit)
 
 
 def _unpack(packed: DataFrame) -> DataFrame:

@@ -354,3 +354,28 @@ def test_pipeline_stages(spark, tmp_path):
     assert sizes == sorted(sizes, reverse=True) and sizes[3] == sizes[4] > 0.5 * sizes[0]
     near = jaccard.brute_force([(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{tmp_path}/1").collect()], jaccard.Threshold(80, 100, words=5))
     assert {r["doc_id"] for r in spark.read.parquet(f"{tmp_path}/2").collect()} == {d for d, (_, c) in near.items() if c == d}
+
+
+def test_jaccard_texts_of_one_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(7, a), (7, b), (3, b), (9, a), (11, c), (12, c), (12, "")]
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert got == [(3, 27, 3), (7, 27, 3), (7, 27, 3), (9, 27, 3), (11, 27, 11), (12, 0, 12), (12, 27, 11)]
+
+
+def test_jaccard_large_group(spark):
+    """One group of near copies and one common passage, each far beyond the length of a long list."""
+    rng = random.Random(11)
+    word = lambda: f"v{rng.randrange(5000)}"
+    base, passage = [word() for _ in range(90)], [word() for _ in range(40)]
+    rows = []
+    for i in range(260):
+        words = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 4, 6])):
+            words[rng.randrange(len(words))] = word()
+        rows.append((i, " ".join(words)))
+    for i in range(260, 460):
+        own = [word() for _ in range(rng.choice([2, 3, 5, 9, 20]))]
+        rows.append((i, " ".join([*own, *passage[rng.choice([0, 0, 2]) :]])))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == jaccard.brute_force(rows)
