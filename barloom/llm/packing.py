@@ -1,118 +1,182 @@
 """Best-fit packing of token sequences by exact-complement hashing over the histogram of lengths.
 
-Every text is tokenised once; a document's ids end with an end-of-text id, and
-only documents beyond the capacity are cut (the first piece takes the
-remainder). The plan works on counts by length, of which there are at most
-``capacity``, whatever the input: for each length from the longest, the gap is
-looked up among single lengths, sums of two and sums of three, and matching
-combinations are consumed in bulk as long as all counts last; what is left goes
+Every text is tokenised once by the tokenizers library; a document's ids end with
+an end-of-text id, and only documents beyond the capacity are cut (the first
+piece takes the remainder). The plan works on counts by length, of which there
+are at most ``capacity``, whatever the input. Lengths, sums of two and sums of
+three are indexed by their sum. For each length from the longest the gap that it
+leaves is looked up among singles, pairs and triples, and matching combinations
+are consumed in bulk as long as all counts last; what is left goes
 best fit. Pieces then find their slots without meeting: a piece's rank within
 its length (its rank in its partition, plus the counts of earlier partitions)
 decides which slot of which pattern it takes.
 
 Null text is empty and makes one piece of the end id alone. Rows are kept one
 for one: repeated ids are packed each on their own; other columns are ignored.
+Empty input gives no rows.
 """
 
 from __future__ import annotations
 
-import base64
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import tiktoken
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from barloom.llm.common import keyed_text, slices, stored
+from barloom.llm.common import discard, keyed_text, slices, stored
 
-# Fixed value: how byte-level vocabularies of this family cut a text.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Fixed value: the added tokens of the tokenizers file, which it finds in texts too.
-ADDED = {"<|endoftext|>": 50256}
+# Fixed value: how byte-level vocabularies of this family part a text.
+PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 PIECES = "doc_id bigint, piece int, start bigint, length int, ids_crc32 bigint, part int, nth bigint"
 Pattern = tuple[tuple[int, ...], int]
 
 
-def tokenizer(ranks_path: str) -> tiktoken.Encoding:
-    """The vocabulary as merge ranks; gives the ids of the tokenizers file of the same vocabulary, several times faster."""
-    with open(ranks_path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("barloom", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=ADDED)
-
-
-def pieces(df: DataFrame, ranks_path: str, capacity: int = 2048, end_id: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
+class Ids:
+    """Ids of texts by the tokenizers library, remembered for each word up to a bound in bytes.
+
+    Byte-level vocabularies of this kind part a text before any lone space, whatever
+    stands around it, so a text is the sequence of its words, each with the space
+    before it; words not seen before are parted further. Texts with two spaces
+    in a row go to the library whole, and so do texts that hold an added token,
+    which the library looks for first.
+    """
+
+    def __init__(self, path: str, memory: int = 128 << 20) -> None:
+        self.model = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.model.get_added_tokens_decoder().values()]
+        self.memory, self.held, self.known, self.older = memory, 0, {}, {}
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _keep(self, word: str, ids: bytes) -> bytes:
+        if (size := len(word) + len(ids) + 150) <= self.memory // 64:
+            if self.held + size > self.memory // 2:  # what was not asked for in a while goes with the older half
+                self.older = dict(self.known)
+                self.known.clear()
+                self.held = 0
+            self.known[word] = ids
+            self.held += size
+        return ids
+
+    def _known(self, part: str) -> bytes:
+        return self.known.get(part) or self._keep(part, self.older.get(part) or self._whole(part))
+
+    def _word(self, word: str) -> bytes:
+        if (ids := self.older.get(word)) or word[1:].isalpha():
+            return self._keep(word, ids or self._whole(word))
+        found = [self._known(p) for p in PARTS.findall(word)]
+        return self._keep(word, b"".join(found)) if len(found) < 3 else b"".join(found)
+
+    def ids(self, text: str) -> bytes:
+        """Little-endian 32-bit ids."""
+        if "  " in text or any(t in text for t in self.added):
+            return self._whole(text)
+        known = self.known.get
+        words = text.split(" ")
+        parts = [known(words[0]) if words[0] else b""]
+        if parts[0] is None:
+            parts[0] = self._word(words[0])
+        for w in words[1:]:
+            w = " " + w
+            parts.append(known(w) or self._word(w))
+        return b"".join(parts)
+
+
+def pieces(df: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a piece with its place in its document, and its rank by length in its partition."""
     names = [x.split()[0] for x in PIECES.split(", ")]
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()]
+    end = np.array([end_id], "<u4").tobytes()
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part, seen = tokenizer(ranks_path), TaskContext.get().partitionId(), Counter()
+        encoder, part, seen = Ids(tokenizer_path), TaskContext.get().partitionId(), Counter()
         for batch in slices(it):
             rows = []
             for doc, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.append(np.asarray(enc.encode(body, allowed_special="all"), "<u4"), np.uint32(end_id))
-                cuts = [0, *range(len(ids) % capacity or capacity, len(ids) + 1, capacity)] if len(ids) > capacity else [0, len(ids)]
-                for n, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    rows.append((doc, n, a, b - a, zlib.crc32(ids[a:b].tobytes()), part, seen[b - a]))
+                ids = encoder.ids(body) + end
+                n = len(ids) // 4
+                cuts = [0, *range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [0, n]
+                for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                    rows.append((doc, k, a, b - a, zlib.crc32(ids[4 * a : 4 * b]), part, seen[b - a]))
                     seen[b - a] += 1
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)], names=names)
 
     return keyed_text(df, key, text).mapInArrow(run, PIECES)
 
 
+class Sums:
+    """Sums of one, two and three lengths, each sum with the combinations that make it.
+
+    Counts only fall, so a combination that has lost a length is dropped for good:
+    a pair's entry is removed, and a triple, kept as a length and a pair's sum, is
+    passed over once either is gone.
+    """
+
+    def __init__(self, have: np.ndarray) -> None:
+        self.have = have
+        self.live = np.nonzero(have)[0]
+        top = len(have) - 1
+        a, b = np.meshgrid(self.live, self.live, indexing="ij")
+        fit = (a >= b) & (a + b <= top)
+        a, total = a[fit], (a + b)[fit]
+        order = np.lexsort((a, total))  # within a sum the longest partner comes last, so that it can be popped
+        edges = np.searchsorted(total[order], np.arange(top + 2))
+        a = a[order]
+        self.pairs = [a[x:y].tolist() for x, y in zip(edges, edges[1:])]
+
+    def enough(self, lengths: tuple[int, ...]) -> bool:
+        return all(self.have[n] >= lengths.count(n) for n in lengths)
+
+    def pair(self, total: int, besides: tuple[int, ...]) -> tuple[int, int] | None:
+        """Two lengths of the sum that last beside ``besides``, the longest first."""
+        found = self.pairs[total]
+        while found and not (self.have[found[-1]] and self.have[total - found[-1]]):
+            found.pop()
+        for a in reversed(found):
+            if self.enough((*besides, a, total - a)):
+                return a, total - a
+        return None
+
+    def complement(self, longest: int) -> tuple[int, ...] | None:
+        """``longest`` with the single, pair or triple that exactly fills its gap, in this order."""
+        gap = len(self.have) - 1 - longest
+        if gap == 0:
+            return (longest,)
+        if self.enough((longest, gap)):
+            return longest, gap
+        if two := self.pair(gap, (longest,)):
+            return longest, *two
+        for a in range(gap - 2, 0, -1):
+            if self.have[a] and self.pairs[gap - a] and (two := self.pair(gap - a, (longest, a))):
+                return longest, a, *two
+        return None
+
+
 def plan(counts: dict[int, int], capacity: int) -> list[Pattern]:
     """Patterns (lengths that share a sequence, how often) that use up all counts."""
     have = np.zeros(capacity + 1, np.int64)
     for n, c in counts.items():
         have[n] += c
     out: list[Pattern] = []
+    sums = Sums(have)
 
     def take(lengths: tuple[int, ...]) -> None:
         times = min(int(have[n]) // k for n, k in Counter(lengths).items())
         for n in lengths:
             have[n] -= times
-        out.append((lengths, times))
-
-    def enough(*lengths: int) -> bool:
-        return all(have[n] >= k for n, k in Counter(lengths).items())
-
-    def pairs(total: int, largest: int) -> np.ndarray:
-        """The longer ones of two available lengths that sum to ``total``, longest first."""
-        top = min(total - 1, largest)
-        low = (total + 1) // 2
-        if top < low:
-            return np.zeros(0, np.int64)
-        a = np.arange(top, low - 1, -1)
-        return a[(have[a] > 0) & (have[total - a] > 0)]
-
-    def exact(longest: int) -> bool:
-        gap = capacity - longest
-        if gap == 0:
-            take((longest,))
-            return True
-        if gap <= longest and enough(longest, gap):
-            take((longest, gap))
-            return True
-        for a in pairs(gap, longest):
-            if enough(longest, int(a), gap - int(a)):
-                take((longest, int(a), gap - int(a)))
-                return True
-        for a in range(min(gap - 2, longest), (gap + 2) // 3 - 1, -1):
-            if have[a]:
-                for b in pairs(gap - a, a):
-                    if enough(longest, a, int(b), gap - a - int(b)):
-                        take((longest, a, int(b), gap - a - int(b)))
-                        return True
-        return False
+        out.append((tuple(sorted(lengths, reverse=True)), times))
 
     for longest in range(capacity, 0, -1):
-        while have[longest] and exact(longest):
-            pass
+        while have[longest] and (found := sums.complement(longest)):
+            take(found)
     for longest in range(capacity, 0, -1):
         while have[longest]:
             lengths, gap = [longest], capacity - longest
@@ -143,9 +207,9 @@ def slots(patterns: list[Pattern]) -> dict[int, tuple[np.ndarray, np.ndarray, np
     return {n: (np.cumsum([0, *(x[0] for x in xs[:-1])]), np.array([x[1] for x in xs]), np.array([x[2] for x in xs]), [x[3] for x in xs]) for n, xs in found.items()}
 
 
-def pack(df: DataFrame, ranks_path: str, capacity: int = 2048, end_id: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pack(df: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
-    cut = stored(pieces(df, ranks_path, capacity, end_id, key, text), "pieces")
+    cut = stored(pieces(df, tokenizer_path, capacity, end_id, key, text), "pieces")
     by_part = cut.groupBy("part", "length").agg(F.count("*").alias("n"))
     # one row a partition and length: the window holds as many rows of a length as the input has partitions
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -11,7 +11,7 @@ from barloom.llm import covertree, html, jaccard, licenses, media, packing, piec
 from barloom.llm.common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
-BYTE_RANKS = "byte_bpe_50k.tiktoken"  # the vocabulary of byte_bpe_50k.json as merge ranks
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +44,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_RANKS), capacity=2048, end_id=0)
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_TOKENIZER), capacity=2048, end_id=0)
 
 
 def op9_jpeg_media(spark: SparkSession, sf_dir: str) -> DataFrame:

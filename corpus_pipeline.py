@@ -35,7 +35,7 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of at most 2048 tokens."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), capacity=2048, end_id=0)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
 
 
 STAGES = [
