@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from barloom.schemas import BOARDS, EQUITIES, INSTRUMENTS
+from barloom.schemas import BLOCKS, BOARDS, EQUITIES
 
 # Message fragments of an answered "no such listing", and of a request that failed.
 ABSENT_MARKERS = ("possibly delisted", "no price data found", "no data found", "symbol may be delisted", "404")
@@ -17,9 +17,13 @@ def padded(code: Column) -> Column:
     return F.when(F.length(code) < 6, F.lpad(code, F.lit(6), F.lit("0"))).otherwise(code)
 
 
+def _by_block(code: Column, table: dict[str, str], default: str) -> Column:
+    known = F.create_map(*(F.lit(x) for pair in table.items() for x in pair))
+    return F.coalesce(F.try_element_at(known, F.substring(code, 1, 3)), F.lit(default))
+
+
 def instrument(code: Column) -> Column:
-    known = F.create_map(*(F.lit(x) for name, blocks in INSTRUMENTS.items() for b in blocks for x in (b, name)))
-    return F.coalesce(F.try_element_at(known, F.substring(padded(code), 1, 3)), F.lit("unknown"))
+    return _by_block(padded(code), BLOCKS, "unknown")
 
 
 def is_equity(code: Column) -> Column:
@@ -28,8 +32,7 @@ def is_equity(code: Column) -> Column:
 
 def board(code: Column) -> Column:
     """By the code's own first three characters, without padding."""
-    block = F.substring(code, 1, 3)
-    return F.when(block.isin(*BOARDS["main"]), "main").when(block.isin(*BOARDS["star"]), "star").when(block.isin(*BOARDS["b_share"]), "b_share").otherwise("other")
+    return _by_block(code, BOARDS, "other")
 
 
 def symbol(code: Column, suffix: str = ".SS") -> Column:
@@ -48,6 +51,23 @@ def is_transient(message: Column) -> Column:
     return F.coalesce(~absent & failed, F.lit(False))
 
 
+def absent_message(message: str) -> bool:
+    """The same markers for one message: an answered "no such listing"."""
+    return any(m in message.lower() for m in ABSENT_MARKERS)
+
+
+def transient_message(message: str) -> bool:
+    """The same rule for one message: worth another try."""
+    return not absent_message(message) and any(m in message.lower() for m in TRANSIENT_MARKERS)
+
+
+def age_text(seconds: Column) -> Column:
+    """How long ago, in whole days, hours or minutes; null stays null."""
+    unit = F.when(seconds >= 86_400, F.lit("d")).when(seconds >= 3600, F.lit("h")).otherwise(F.lit("min"))
+    size = F.when(unit == "d", 86_400).when(unit == "h", 3600).otherwise(60)
+    return F.concat_ws(" ", F.floor(seconds / size).cast("string"), F.when(seconds.isNotNull(), unit), F.when(seconds.isNotNull(), F.lit("ago")))
+
+
 def redacted(text: Column) -> Column:
     """Passwords in connection strings masked."""
     return F.regexp_replace(text, r"(://)([^:/@\s]+):[^@/\s]+@", r"$1$2:***@")

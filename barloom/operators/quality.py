@@ -79,7 +79,7 @@ def duplicate_dates(raw: DataFrame) -> DataFrame:
 
 def unsorted_tickers(raw: DataFrame) -> DataFrame:
     """ticker, n = 1 where arrival order (``seq``) has a date before the row before."""
-    w = Window.partitionBy("ticker").orderBy("seq")
+    w = Window.partitionBy("ticker").orderBy("seq", "date")
     return raw.select("ticker", F.when(F.col("date") < F.lag("date").over(w), 1).otherwise(0).alias("x")).groupBy("ticker").agg(F.max("x").alias("n")).where("n > 0")
 
 
@@ -142,16 +142,53 @@ def validate(raw: DataFrame) -> DataFrame:
     return quality_report(raw.drop("seq")).unionByName(extra[0]).unionByName(extra[1])
 
 
+def examples(bars: DataFrame, k: int = 5) -> DataFrame:
+    """ticker, check, shown (the first k cases by date), n of the checks that name their cases: OHLC, price limits, gaps."""
+    day = F.col("date").cast("string")
+    seen = {"before": F.lag("date").over(by_date()).cast("string"), "last": F.lag("close").over(by_date()), "broke": limit_break(F.col("board")), "days": gap_days(), "odd": ohlc_violation()}
+    labels = {
+        "ohlc_violations": F.when(F.col("odd"), day),
+        "price_limit_exceeded": F.when(F.col("broke"), F.concat_ws(" ", day, F.format_number("last", 4), F.lit("->"), F.format_number("close", 4))),
+        "long_gaps": F.when(F.col("days") >= 30, F.concat(F.col("before"), F.lit(".."), day)),
+    }
+    cases = F.array(*(F.struct(F.lit(c).alias("check"), x.alias("label")) for c, x in labels.items()))
+    rows = bars.select("ticker", "date", "close", *(v.alias(k) for k, v in seen.items())).select("ticker", "date", F.inline(cases)).where("label IS NOT NULL")
+    # ranked first, so that only k cases of a check are ever put together
+    rank = F.row_number().over(Window.partitionBy("ticker", "check").orderBy("date", "label"))
+    out = rows.withColumn("rank", rank).groupBy("ticker", "check").agg(F.array_sort(F.collect_list(F.when(F.col("rank") <= k, F.struct("rank", "label")))).alias("first"), F.count("*").alias("n"))
+    return out.select("ticker", "check", F.transform("first", lambda x: x["label"]).alias("shown"), "n")
+
+
 def report_rows(raw: DataFrame) -> DataFrame:
-    """ticker, n_input, n_output, errors (before cleaning), warnings (after), ok, summary."""
+    """ticker, n_input, n_output, n_dropped, errors (before cleaning), warnings (after), ok, summary; checks that count nothing are not listed."""
     pre = validate(raw).where("severity = 'error'")
     post = quality_report(sanitize(raw))
-    folded = pre.unionByName(post.where("severity = 'warning'")).groupBy("ticker", "severity").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("check", "n")))).alias("m"))
-    wide = folded.groupBy("ticker").agg(F.max_by("m", F.when(F.col("severity") == "error", 1)).alias("errors"), F.max_by("m", F.when(F.col("severity") == "warning", 1)).alias("warnings"))
-    bad = post.where("severity = 'error'").select("ticker").distinct().withColumn("bad", F.lit(True))
-    out = drop_counts(raw).join(wide, "ticker", "left").join(bad, "ticker", "left")
-    summary = F.format_string("%s: %d -> %d rows, %d error kinds, %d warning kinds", F.col("ticker"), F.col("n_input"), F.col("n_output"), F.coalesce(F.size("errors"), F.lit(0)), F.coalesce(F.size("warnings"), F.lit(0)))
-    return out.select("ticker", "n_input", "n_output", "n_dropped", "errors", "warnings", F.col("bad").isNull().alias("ok"), summary.alias("summary"))
+    return reports(drop_counts(raw), pre, post)
+
+
+def reports(drops: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """Report rows of drop counts, checks before cleaning and checks after; ``ok`` means no error is left after."""
+    lists = before.where("severity = 'error'").unionByName(after.where("severity = 'warning'")).withColumn("left", F.lit(0))
+    lists = lists.unionByName(after.where("severity = 'error'").withColumn("left", F.lit(1)))
+
+    def listed(severity: str) -> Column:
+        mine = (F.col("severity") == severity) & (F.col("left") == 0)
+        return F.map_from_entries(F.array_sort(F.collect_list(F.when(mine, F.struct("check", "n"))))).alias(f"{severity}s")
+
+    wide = lists.groupBy("ticker").agg(listed("error"), listed("warning"), F.max("left").alias("left"))
+    none = F.map_from_entries(F.array().cast("array<struct<check: string, n: bigint>>"))
+    out = drops.join(wide, "ticker", "left").withColumns({"errors": F.coalesce("errors", none), "warnings": F.coalesce("warnings", none)})
+
+    def text(name: str) -> Column:
+        return F.array_join(F.transform(F.array_sort(F.map_entries(name)), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ", ")
+
+    summary = F.format_string("%s: kept %d of %d rows; errors: %s; warnings: %s", F.col("ticker"), F.col("n_output"), F.col("n_input"), F.coalesce(F.nullif(text("errors"), F.lit("")), F.lit("none")), F.coalesce(F.nullif(text("warnings"), F.lit("")), F.lit("none")))
+    return out.select("ticker", "n_input", "n_output", "n_dropped", "errors", "warnings", (F.coalesce("left", F.lit(0)) == 0).alias("ok"), summary.alias("summary"))
+
+
+def failing(rows: DataFrame, k: int = 50) -> DataFrame:
+    """The first k report rows that are not ok, by ticker."""
+    return rows.where("NOT ok").orderBy("ticker").limit(k)
 
 
 def census(raw: DataFrame) -> DataFrame:

@@ -76,5 +76,17 @@ def tickers(bars: DataFrame) -> DataFrame:
 
 
 def sample_tickers(bars: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """A seeded sample: the n tickers with the least hashes."""
-    return tickers(bars).orderBy(F.xxhash64("ticker", F.lit(seed)), "ticker").limit(n)
+    """A seeded sample: the n tickers with the least digests of seed and ticker."""
+    return tickers(bars).orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col("ticker"))), "ticker").limit(n)
+
+
+def head_tickers(tickers: DataFrame, n: int | None) -> DataFrame:
+    """The first n tickers by name; None means all."""
+    out = tickers.select("ticker").distinct().orderBy("ticker")
+    return out if n is None else out.limit(n)
+
+
+def iter_chunks(bars: DataFrame, ticker: str | None = None) -> DataFrame:
+    """All bars, or a ticker's, in order of ticker, year and date."""
+    rows = bars if ticker is None else bars.where(F.col("ticker") == ticker)
+    return rows.withColumn("year", F.year("date")).orderBy("ticker", "year", "date")

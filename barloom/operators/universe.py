@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+import math
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.config import CAP_CEILING, MIN_BAND_RATIO, MIN_RESOLVABLE_CAP, Settings
+from barloom.config import CAP_CEILING, CODE_PREFIXES, DEEPEST_BAND, MIN_BAND_RATIO, MIN_RESOLVABLE_CAP, SCREEN_ROWS
 from barloom.functions.codes import board, instrument, is_equity, padded, symbol
-from barloom.sources.listings import in_band
 
 PRESENT, ABSENT, UNKNOWN = "present", "absent", "unknown"
-DEEPEST = 12
 
 
 def classify(listings: DataFrame) -> DataFrame:
@@ -22,9 +21,10 @@ def classify(listings: DataFrame) -> DataFrame:
 
 
 def unknown_blocks(listings: DataFrame) -> DataFrame:
-    """block, codes (sorted, repeats kept) of codes in no known block."""
+    """block, codes (sorted, repeats kept) of codes in no known block. Repeats are counted first: a block has at most a thousand codes of six digits."""
     rows = listings.select(F.col("code"), F.substring(padded(F.col("code")), 1, 3).alias("block"), instrument(F.col("code")).alias("i")).where("i = 'unknown'")
-    return rows.groupBy("block").agg(F.sort_array(F.collect_list("code")).alias("codes"))
+    counted = rows.groupBy("block", "code").agg(F.count("*").cast("int").alias("n"))
+    return counted.groupBy("block").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("code", "n"))), lambda x: F.array_repeat(x["code"], x["n"]))).alias("codes"))
 
 
 def instrument_counts(listings: DataFrame) -> DataFrame:
@@ -65,7 +65,7 @@ def gate(reconciliation: DataFrame, unresolved_probes: int, tolerance: float = 0
     return reconciliation.withColumn("passes", (F.col("disagreement_fraction") <= tolerance) & F.lit(unresolved_probes == 0))
 
 
-def candidate_codes(spark: SparkSession, prefixes: tuple[str, ...] = Settings().code_ranges) -> DataFrame:
+def candidate_codes(spark: SparkSession, prefixes: tuple[str, ...] = CODE_PREFIXES) -> DataFrame:
     """code, prefix of all six-digit codes under the prefixes."""
     parts = [spark.range(10 ** (6 - len(p))).select(F.concat(F.lit(p), F.lpad(F.col("id").cast("string"), F.lit(6 - len(p)), F.lit("0"))).alias("code"), F.lit(p).alias("prefix")) for p in dict.fromkeys(prefixes)]
     out = parts[0]
@@ -86,57 +86,73 @@ def probe_outcomes(candidates: DataFrame, answers: DataFrame, skip: DataFrame |
     return candidates.select("code").distinct().join(per, "code", "left").select("code", case.alias("outcome"))
 
 
-@dataclass(frozen=True)
-class Band:
-    low: float
-    high: float | None
-    depth: int = 0
-    n_returned: int = 0
-    saturated: bool = False
-    unresolvable: str | None = None
+Leaf = tuple[float, float | None, int, int, bool, str | None]
 
-    def midpoint(self) -> float:
-        return (max(self.low, 1.0) * (CAP_CEILING if self.high is None else self.high)) ** 0.5
 
-    def splittable(self) -> str | None:
-        """None if the band can be split, else why not; an open band always can."""
-        if self.high is None:
-            return None
-        if self.high <= MIN_RESOLVABLE_CAP:
-            return "no_reported_market_cap"
-        narrow = self.low > 0 and self.high / self.low < MIN_BAND_RATIO
-        return "interval_exhausted" if narrow or self.midpoint() <= self.low * 1.000001 else None
+def band_edges(depth: int = DEEPEST_BAND) -> list[float]:
+    """All bounds that halving at the geometric mean can reach: 0, then 2**depth rising values up to the ceiling."""
+    edges = [0.0, CAP_CEILING]
+    for _ in range(depth):
+        between = [(max(a, 1.0) * b) ** 0.5 for a, b in zip(edges, edges[1:])]
+        edges = [x for pair in zip(edges, between) for x in pair] + [CAP_CEILING]
+    return edges
 
 
-def screen_bands(listings: DataFrame, ceiling: int = Settings().screener_max_offset) -> list[Band]:
-    """Leaf bands of a breadth-first bisection by market cap against a source that returns at most ``ceiling`` rows.
+def cap_counts(listings: DataFrame, edges: list[float]) -> tuple[list[int], list[int]]:
+    """How many caps lie in each [edge, next edge) and on each edge: one pass, and at most two rows an edge for the driver.
 
-    All bands of one depth are counted in a single pass over the listings, so
-    there are at most thirteen passes; the driver holds the bands, not rows.
+    Edges are even in the logarithm, which gives a cell that is off by one at most; the edges themselves decide.
     """
-    level, leaves = [Band(0.0, None)], []
-    while level:
-        counts = listings.agg(*(F.count_if(in_band(F.col("market_cap"), b.low, b.high)).alias(f"c{i}") for i, b in enumerate(level))).first()
-        following: list[Band] = []
-        for i, b in enumerate(level):
-            n = counts[f"c{i}"]
-            b = replace(b, n_returned=min(n, ceiling), saturated=n >= ceiling)
-            why = b.splittable() if b.saturated else None
-            if b.saturated and not why and b.depth < DEEPEST:
-                mid = b.midpoint()
-                following += [Band(b.low, mid, b.depth + 1), Band(mid, b.high, b.depth + 1)]
-            else:
-                leaves.append(replace(b, unresolvable=(why or "max_depth") if b.saturated else None))
-        level = following
+    cells = len(edges) - 1
+    held = F.array(*map(F.lit, edges))
+    rows = listings.select(F.col("market_cap").alias("cap")).where(F.col("cap").between(edges[0], edges[-1]))
+    guess = F.least(F.greatest(F.floor(F.log(F.greatest("cap", F.lit(1.0))) * (cells / math.log(edges[-1]))), F.lit(0)), F.lit(cells - 1)).cast("int")
+    rows = rows.withColumn("k", guess)
+    rows = rows.withColumn("k", F.col("k") + F.when(F.col("cap") < F.get(held, F.col("k")), -1).when((F.col("cap") >= F.get(held, F.col("k") + 1)), 1).otherwise(0))
+    found = rows.groupBy("k", (F.col("cap") == F.get(held, F.col("k"))).alias("on")).agg(F.count("*").alias("n")).collect()
+    inside, on = [0] * (cells + 1), [0] * (cells + 1)
+    for r in found:
+        inside[r["k"]] += r["n"]
+        on[r["k"]] += r["n"] if r["on"] else 0
+    return inside, on
+
+
+def screen_bands(listings: DataFrame, ceiling: int = SCREEN_ROWS) -> list[Leaf]:
+    """Leaves (low, high, depth, n_returned, saturated, unresolvable) of halving the market caps until a screen of at most ``ceiling`` rows holds each band.
+
+    A band holds both its bounds. All counts come from one pass, since the bounds that halving can reach are known beforehand.
+    """
+    edges = band_edges()
+    inside, on = cap_counts(listings, edges)
+    upto = list(accumulate([0, *inside]))
+    leaves: list[Leaf] = []
+
+    def visit(a: int, b: int, depth: int) -> None:
+        low, high = edges[a], edges[b]
+        n = upto[b] - upto[a] + on[b]
+        last = b == len(edges) - 1
+        why = None
+        if n >= ceiling and not last:
+            narrow = low > 0 and (high / low < MIN_BAND_RATIO or (low * high) ** 0.5 <= low * 1.000001)
+            why = "no_reported_market_cap" if high <= MIN_RESOLVABLE_CAP else "interval_exhausted" if narrow else None
+        if n >= ceiling and why is None and depth == DEEPEST_BAND:
+            why = "max_depth"
+        if n >= ceiling and why is None:
+            middle = (a + b) // 2
+            visit(a, middle, depth + 1)
+            visit(middle, b, depth + 1)
+        else:
+            leaves.append((low, None if last else high, depth, min(n, ceiling), n >= ceiling, why))
+
+    visit(0, len(edges) - 1, 0)
     return leaves
 
 
-def bands_frame(spark: SparkSession, bands: list[Band]) -> DataFrame:
-    rows = [(b.low, b.high, b.depth, b.n_returned, b.saturated, b.unresolvable) for b in bands]
-    return spark.createDataFrame(rows, "low double, high double, depth int, n_returned bigint, saturated boolean, unresolvable string")
+def bands_frame(spark: SparkSession, leaves: list[Leaf]) -> DataFrame:
+    return spark.createDataFrame(leaves, "low double, high double, depth int, n_returned bigint, saturated boolean, unresolvable string")
 
 
-def discover(listings: DataFrame, answers: DataFrame | None, prefixes: tuple[str, ...] = Settings().code_ranges) -> DataFrame:
+def discover(listings: DataFrame, answers: DataFrame | None, prefixes: tuple[str, ...] = CODE_PREFIXES) -> DataFrame:
     """ticker, code, name, board, in_screener, in_probe of the equities that either method finds."""
     screened = listings.where(is_equity(F.col("code"))).select("code", "name").groupBy("code").agg(F.min("name").alias("name")).withColumn("s", F.lit(True))
     if answers is None:

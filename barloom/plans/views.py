@@ -49,31 +49,26 @@ FROM (SELECT (CASE p_partkey % 12 WHEN 0 THEN '600' WHEN 1 THEN '601' WHEN 2 THE
       FROM part) t"""
 
 MASTER = """
-SELECT * FROM (VALUES
- ('600000.SS', 'main', 'Alpha Bank', 'active', 'r1', 'ok'),
- ('600001.SS', 'main', 'alpha steel', 'active', 'r1', 'failed'),
- ('601002.SS', 'main', NULL, 'active', 'r0', 'ok'),
- ('688003.SS', 'star', 'Beta Chip', 'active', NULL, NULL),
- ('688004.SS', 'star', 'Gamma', 'inactive', 'r1', 'ok'),
- ('900005.SS', 'b_share', 'Delta B', 'active', 'r1', 'empty'),
- ('605006.SS', 'main', 'Epsilon', NULL, 'r1', 'ok')
-) AS t(ticker, board, name, status, run_id, ingest_state)"""
+SELECT ticker, CASE WHEN b IN ('600', '601', '603', '605') THEN 'main' WHEN b IN ('688', '689') THEN 'star' WHEN b = '900' THEN 'b_share' ELSE 'other' END AS board, name,
+       CASE k % 11 WHEN 0 THEN 'inactive' WHEN 1 THEN NULL ELSE 'active' END AS status,
+       CASE k % 4 WHEN 0 THEN 'r0' WHEN 1 THEN NULL ELSE 'r1' END AS run_id,
+       CASE k % 5 WHEN 0 THEN 'failed' WHEN 1 THEN 'empty' WHEN 2 THEN NULL ELSE 'ok' END AS ingest_state
+FROM (SELECT ticker, min(substr(code, 1, 3)) AS b, min(name) AS name, CAST(floor(min(market_cap) / 1000000) AS BIGINT) + CAST(min(code) AS BIGINT) AS k FROM listings GROUP BY ticker) m"""
 
 SNAPSHOTS = """
-SELECT run_id, source, CAST(taken_at AS DATE) AS taken_at, symbol FROM (VALUES
- ('u1', 'screener', '2026-08-11', '600000.SS'), ('u1', 'screener', '2026-08-11', '600001.SS'),
- ('u1', 'probe', '2026-08-11', '601002.SS'), ('u2', 'screener', '2026-08-12', '600000.SS'),
- ('u2', 'screener', '2026-08-12', '688003.SS'), ('u3', 'screener', '2026-08-13', '900005.SS')
-) AS t(run_id, source, taken_at, symbol)"""
+SELECT run_id, source, taken_at, symbol
+FROM (SELECT concat('u', k % 9) AS run_id, CASE WHEN in_screener THEN 'screener' ELSE 'probe' END AS source, date_add(CAST('2026-08-01' AS DATE), CAST(k % 9 AS INT)) AS taken_at, ticker AS symbol
+      FROM (SELECT DISTINCT ticker, in_screener, CAST(code AS BIGINT) AS k FROM listings) x) y"""
 
 RUNS = """
-SELECT id, kind, status, CAST(started_at AS DATE) AS started_at, CAST(heartbeat_at AS DATE) AS heartbeat_at FROM (VALUES
- ('a', 'update', 'running', '2026-08-10', '2026-08-13'), ('b', 'update', 'running', '2026-08-13', NULL),
- ('c', 'backfill', 'running', '2026-08-01', '2026-08-02'), ('d', 'update', 'ok', '2026-08-12', '2026-08-12')
-) AS t(id, kind, status, started_at, heartbeat_at)"""
+SELECT CAST(o_orderkey AS STRING) AS id, CASE o_orderkey % 3 WHEN 0 THEN 'update' WHEN 1 THEN 'backfill' ELSE 'discover' END AS kind,
+       CASE o_orderstatus WHEN 'O' THEN 'running' WHEN 'P' THEN 'failed' ELSE 'ok' END AS status,
+       CAST(o_orderdate AS DATE) AS started_at,
+       CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE date_add(CAST(o_orderdate AS DATE), CAST(o_orderkey % 30 AS INT)) END AS heartbeat_at
+FROM orders"""
 
 VIEWS = {"raw_bars": RAW_BARS, "clean_bars": CLEAN_BARS, "overlay": OVERLAY, "event_bars": EVENT_BARS, "listings": LISTINGS, "master": MASTER, "snapshots": SNAPSHOTS, "runs": RUNS}
-TABLES = ("lineitem", "events", "part")
+TABLES = ("lineitem", "events", "part", "orders")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,5 +83,8 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ctes(*names: str) -> str:
     """WITH clauses of the named views and those they need, for an oracle."""
-    order = [v for v in VIEWS if v in names or (v == "raw_bars" and {"clean_bars", "overlay"} & set(names)) or (v == "clean_bars" and "overlay" in names)]
-    return "WITH " + ", ".join(f"{v} AS ({VIEWS[v]})" for v in order)
+    wanted = set(names)
+    for v in reversed(VIEWS):  # a view only reads those before it
+        if v in wanted:
+            wanted |= {w for w in VIEWS if re.search(rf"FROM {w}\b", VIEWS[v])}
+    return "WITH " + ", ".join(f"{v} AS ({VIEWS[v]})" for v in VIEWS if v in wanted)

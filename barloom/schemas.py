@@ -32,25 +32,79 @@ SNAPSHOTS = T.StructType(
     ]
 )
 
-# Instruments by the first three digits of a code.
-INSTRUMENTS = {
-    "equity_main": ("600", "601", "603", "605"),
-    "equity_star": ("688", "689"),
-    "equity_b_share": ("900",),
-    "fund_closed": ("500",),
-    "fund_lof": ("501", "505", "506", "507"),
-    "fund_structured": ("502",),
-    "reit": ("508",),
-    "etf": ("510", "512", "515", "516", "517", "560", "561", "562", "563"),
-    "etf_bond": ("511",),
-    "etf_qdii": ("513",),
-    "etf_gold": ("518",),
-    "etf_star": ("588",),
-    "bond_convertible": ("110", "111", "113", "118"),
-    "bond_treasury": ("010", "018", "019", "020"),
-    "bond_corporate": ("122", "124", "126", "127", "128", "132", "136", "163", "175"),
-    "repo": ("204",),
-    "index": ("000",),
+INGEST = T.StructType([T.StructField("state", T.StringType()), T.StructField("run_id", T.StringType()), T.StructField("updated_at", T.TimestampNTZType())])
+MASTER = T.StructType(
+    [
+        *(T.StructField(c, T.StringType()) for c in ("ticker", "code", "name", "board", "status")),
+        T.StructField("first_seen", T.TimestampNTZType()),
+        T.StructField("last_seen", T.TimestampNTZType()),
+        T.StructField("last_source", T.StringType()),
+        T.StructField("inactive_since", T.TimestampNTZType()),
+        T.StructField("ingest", INGEST),
+    ]
+)
+CHUNKS = T.StructType(
+    [
+        T.StructField("ticker", T.StringType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("first", T.DateType()),
+        T.StructField("last", T.DateType()),
+        T.StructField("sha256", T.StringType()),
+        T.StructField("codec", T.StringType()),
+        T.StructField("schema_version", T.IntegerType()),
+        T.StructField("updated_at", T.TimestampNTZType()),
+    ]
+)
+
+# The instrument of a code by its first three digits.
+BLOCKS = {
+    "000": "index",
+    "010": "bond_treasury",
+    "018": "bond_treasury",
+    "019": "bond_treasury",
+    "020": "bond_treasury",
+    "110": "bond_convertible",
+    "111": "bond_convertible",
+    "113": "bond_convertible",
+    "118": "bond_convertible",
+    "122": "bond_corporate",
+    "124": "bond_corporate",
+    "126": "bond_corporate",
+    "127": "bond_corporate",
+    "128": "bond_corporate",
+    "132": "bond_corporate",
+    "136": "bond_corporate",
+    "163": "bond_corporate",
+    "175": "bond_corporate",
+    "204": "repo",
+    "500": "fund_closed",
+    "501": "fund_lof",
+    "502": "fund_structured",
+    "505": "fund_lof",
+    "506": "fund_lof",
+    "507": "fund_lof",
+    "508": "reit",
+    "510": "etf",
+    "511": "etf_bond",
+    "512": "etf",
+    "513": "etf_qdii",
+    "515": "etf",
+    "516": "etf",
+    "517": "etf",
+    "518": "etf_gold",
+    "560": "etf",
+    "561": "etf",
+    "562": "etf",
+    "563": "etf",
+    "588": "etf_star",
+    "600": "equity_main",
+    "601": "equity_main",
+    "603": "equity_main",
+    "605": "equity_main",
+    "688": "equity_star",
+    "689": "equity_star",
+    "900": "equity_b_share",
 }
 EQUITIES = ("equity_main", "equity_star", "equity_b_share")
-BOARDS = {"main": ("600", "601", "603", "605"), "star": ("688", "689"), "b_share": ("900",)}
+# The board of a code by its first three digits; all others are "other".
+BOARDS = {"600": "main", "601": "main", "603": "main", "605": "main", "688": "star", "689": "star", "900": "b_share"}

@@ -3,21 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
-import random
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barloom.config import Settings
-from barloom.schemas import ACTIONS, BARS, FIELDS, PRICES
+from barloom.operators.store import Store
+from barloom.schemas import ACTIONS, BARS, FIELDS
 
 # Vendor names of columns that have another name here.
 ALIASES = {"adjclose": "adj_close", "stock_splits": "splits"}
 
 
 class BarSource(Protocol):
-    """A vendor: rows of the bars schema, with ``error`` set where a ticker's fetch failed."""
+    """A place that bars are read from: rows of the bars schema, with ``error`` set where a ticker's fetch failed."""
 
     def read(self, spark: SparkSession, tickers: DataFrame, start: dt.date, end: dt.date) -> DataFrame: ...
 
@@ -55,39 +54,16 @@ class FileSource:
         return rows.withColumn("error", F.lit(None).cast("string"))
 
 
-def fetch_results(requested: DataFrame, rows: DataFrame, errors: DataFrame) -> DataFrame:
-    """ticker, n_bars, ok, error (500 characters): one row a requested ticker; a failure is a value."""
-    n = rows.groupBy("ticker").agg(F.count("*").alias("n_bars"))
-    failed = errors.groupBy("ticker").agg(F.min("error").alias("error"))
-    out = requested.select("ticker").distinct().join(n, "ticker", "left").join(failed, "ticker", "left")
-    return out.select("ticker", F.coalesce("n_bars", F.lit(0)).alias("n_bars"), F.col("error").isNull().alias("ok"), F.substring("error", 1, 500).alias("error"))
-
-
-def backoff_seconds(attempt: int, limited: bool, settings: Settings = Settings(), rng: random.Random | None = None) -> float:
-    """How long a connector waits before its next try: exponential, longer when rate limited, capped, jittered."""
-    raw = settings.backoff_base**attempt * (4 if limited else 1)
-    return min(raw, settings.backoff_cap) * (rng or random.Random()).uniform(0.5, 1.5)
-
-
-class RateLimiter:
-    """A sliding 60-second window of calls; ``wait`` says how long a call at ``now`` has to wait."""
-
-    def __init__(self, per_minute: int) -> None:
-        self.per_minute, self.calls = per_minute, []
-
-    def wait(self, now: float) -> float:
-        self.calls = [t for t in self.calls if now - t < 60]
-        if len(self.calls) < self.per_minute:
-            self.calls.append(now)
-            return 0.0
-        return 60 - (now - self.calls[0])
-
-
 def columnar_json(bars: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
-    """ticker, doc: one JSON object of arrays a ticker, ``date`` first, null for missing, volume as integer."""
+    """ticker, doc: one JSON object of arrays a ticker, ``date`` first, null for missing, volume as integer.
+
+    One row holds a ticker's history: a date a day, so some ten thousand values at most a column. Repeated dates raise.
+    """
     fields = tuple(f for f in fields if f in bars.columns and f != "date")
     row = F.struct("date", *fields)
-    grouped = bars.groupBy("ticker").agg(F.array_sort(F.collect_list(row)).alias("r"))
+    before = F.lag("date").over(Window.partitionBy("ticker").orderBy("date"))
+    once = bars.withColumn("date", F.when(F.col("date") == before, F.raise_error(F.lit("a ticker repeats a date")).cast("date")).otherwise(F.col("date")))
+    grouped = once.groupBy("ticker").agg(F.array_sort(F.collect_list(row)).alias("r"))
     columns = [F.transform("r", lambda x: F.date_format(x["date"], "yyyy-MM-dd")).alias("date")]
 
     def column(f: str) -> Column:
@@ -98,7 +74,16 @@ def columnar_json(bars: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFram
 
 
 def write_report(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+    """One JSON object a row, nulls written, dates as text; replaces a report at the path."""
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-__all__ = ["PRICES", "BarSource", "FileSource", "RateLimiter", "backoff_seconds", "columnar_json", "empty", "fetch_results", "normalise", "write_report"]
+class StoreSource:
+    """Bars that a store holds, as a source of another run."""
+
+    def __init__(self, path: str) -> None:
+        self.path = path
+
+    def read(self, spark: SparkSession, tickers: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+        rows = Store(spark, self.path).bars(range(start.year, end.year + 1)).where(F.col("date").between(start, end))
+        return rows.drop("year").join(tickers.select("ticker").distinct(), "ticker", "left_semi").withColumn("error", F.lit(None).cast("string"))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from barloom.operators import quality, store
+from barloom.operators import quality
+from barloom.operators.store import Store
 from barloom.schemas import BARS
 
 
@@ -18,7 +19,7 @@ def merge_stream(spark: SparkSession, landing: str, path: str, checkpoint: str)
     def merge_batch(batch: DataFrame, _: int) -> None:
         clean = quality.sanitize(batch)
         if not clean.isEmpty():
-            store.merge_into(spark, path, clean)
+            Store(spark, path).merge(clean)
 
     rows = spark.readStream.schema(schema).parquet(landing)
     return rows.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -5,14 +5,18 @@ import hashlib
 import struct
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from barloom.functions import codec, codes
 from barloom.operators import calendar, master, quality, runs, series, store, universe
-from barloom.plans import flows, report
+from barloom.operators.store import Conflict, Refused, Store
+from barloom.plans import flows, status
 from barloom.schemas import BARS
 from barloom.sources import bars as sources
-from barloom.sources import listings
+from barloom import cli, session
+from barloom.config import Horizon, Retry, from_environment
+from barloom.sources import listings, vendor
 
 D = dt.date
 
@@ -81,21 +85,222 @@ def test_merge_replaces_whole_rows_and_settles(spark):
     assert sorted(map(str, store.merge(once, new).collect())) == sorted(map(str, once.collect()))
 
 
+def held(st):
+    return {(r["ticker"], r["date"], r["close"]) for r in st.bars().collect()}
+
+
 def test_store_round_trip(spark, tmp_path):
-    path = f"{tmp_path}/bars"
+    st = Store(spark, f"{tmp_path}/bars")
+    assert st.bars().isEmpty() and st.manifest().isEmpty() and st.create() and not st.create()
     raw = rows(spark, ("a", D(2023, 12, 29), 1.0, {}), ("a", D(2024, 1, 2), 1.05, {}), ("b", D(2024, 1, 2), 3.0, {}))
-    flows.bulk_load(raw, path)
+    flows.bulk_load(raw, st)
     more = rows(spark, ("a", D(2024, 1, 2), 1.06, {}), ("a", D(2024, 1, 3), 1.07, {}))
-    out = {r["outcome"]: r["chunks"] for r in flows.update(spark, more, path).collect()}
-    assert out == {"updated": 1}
-    spark.catalog.refreshByPath(path)
-    stored = store.read_bars(spark, path)
-    assert {(r["ticker"], r["date"], r["close"]) for r in stored.collect()} == {("a", D(2023, 12, 29), 1.0), ("a", D(2024, 1, 2), 1.06), ("a", D(2024, 1, 3), 1.07), ("b", D(2024, 1, 2), 3.0)}
-    stats = store.storage_stats(store.read_bars(spark, path)).first()
+    assert [tuple(r) for r in flows.update(more, st).collect()] == [("updated", 1, 2)]
+    assert [tuple(r) for r in flows.update(more, st).collect()] == [("unchanged", 1, 2)]
+    assert held(st) == {("a", D(2023, 12, 29), 1.0), ("a", D(2024, 1, 2), 1.06), ("a", D(2024, 1, 3), 1.07), ("b", D(2024, 1, 2), 3.0)}
+    stats = store.storage_stats(st.bars()).first()
     assert stats["used_bytes"] > 0 and not stats["over_threshold"]
-    store.delete_ticker(spark, path, "b")
-    spark.catalog.refreshByPath(path)
-    assert [r[0] for r in series.tickers(store.read_bars(spark, path)).collect()] == ["a"]
+    st.delete("b")
+    assert [r[0] for r in series.tickers(st.bars()).collect()] == ["a"]
+    assert st.vacuum() > 0 and st.vacuum() == 0 and len(held(st)) == 3
+
+
+def test_a_merge_leaves_other_years_as_they_are(spark, tmp_path):
+    """A year merged before, then loaded anew, keeps what was loaded when another year is merged."""
+    st = Store(spark, f"{tmp_path}/bars")
+    bar = lambda day, close: rows(spark, ("a", day, close, {})).drop("seq", "board")
+    st.merge(bar(D(2024, 1, 2), 2.0))
+    st.replace(bar(D(2024, 1, 2), 3.0))
+    st.merge(bar(D(2023, 1, 2), 1.0))
+    assert held(st) == {("a", D(2024, 1, 2), 3.0), ("a", D(2023, 1, 2), 1.0)}
+
+
+def test_a_ticker_alone_in_its_years_can_be_deleted(spark, tmp_path):
+    st = Store(spark, f"{tmp_path}/bars")
+    st.replace(rows(spark, ("a", D(2023, 1, 2), 1.0, {}), ("a", D(2024, 1, 2), 1.0, {}), ("b", D(2024, 1, 2), 2.0, {})).drop("seq", "board"))
+    st.delete("a")
+    assert held(st) == {("b", D(2024, 1, 2), 2.0)} and sorted(st.entry()[1]) == [2024]
+    st.delete("none-such")
+    st.delete("b")
+    assert held(st) == set() and st.entry()[1] == {}
+
+
+def test_writers_conflict_and_failed_writes_show_nothing(spark, tmp_path):
+    st = Store(spark, f"{tmp_path}/bars")
+    one = rows(spark, ("a", D(2024, 1, 2), 1.0, {})).drop("seq", "board")
+    st.replace(one)
+    late = Store(spark, st.path)
+    seen = late.entry()
+    st.replace(one.withColumn("close", F.lit(2.0)))
+    late.entry = lambda: seen  # a writer that read the log before the other one wrote
+    with pytest.raises(Conflict):
+        late.commit(one.withColumn("close", F.lit(9.0)), [2024])
+    assert held(st) == {("a", D(2024, 1, 2), 2.0)}
+    with pytest.raises(Refused, match="do not increase"):
+        st.replace(one.union(one))
+    with pytest.raises(Exception, match="boom"):
+        st.replace(one.withColumn("close", F.raise_error(F.lit("boom")).cast("double")))
+    assert held(st) == {("a", D(2024, 1, 2), 2.0)}
+    assert st.hold("x") and st.hold("x") and not st.hold("y")
+    st.release("y")
+    assert not st.hold("y")
+    st.release("x")
+    assert st.hold("y")
+
+
+def test_unchanged_chunks_keep_their_stamp(spark, tmp_path):
+    st = Store(spark, f"{tmp_path}/bars")
+    two = rows(spark, ("a", D(2024, 1, 2), 1.0, {}), ("b", D(2024, 1, 2), 2.0, {})).drop("seq", "board")
+    st.commit(two, [2024], dt.datetime(2024, 5, 1))
+    st.commit(two.withColumn("close", F.when(F.col("ticker") == "b", 3.0).otherwise(F.col("close"))), [2024], dt.datetime(2024, 6, 1))
+    assert {r["ticker"]: r["updated_at"].month for r in st.manifest().collect()} == {"a": 5, "b": 6}
+
+
+def test_a_store_reads_only_the_years_asked_for(spark, tmp_path):
+    st = Store(spark, f"{tmp_path}/bars")
+    st.replace(rows(spark, ("a", D(2022, 1, 2), 1.0, {}), ("a", D(2023, 1, 2), 1.0, {}), ("a", D(2024, 1, 2), 1.0, {})).drop("seq", "board"))
+    some = series.slice_dates(st.bars(), D(2023, 1, 1), D(2023, 12, 31))
+    assert "PartitionFilters: [isnotnull(year" in some._jdf.queryExecution().toString()
+    assert some.select(F.input_file_name().alias("f")).distinct().count() == 1
+
+
+def test_encoded_chunks(spark):
+    raw = rows(spark, ("a", D(2024, 1, 3), 11.5, {"dividends": 0.25}), ("a", D(2024, 1, 2), 10.0, {"adj_close": None, "volume": None}), ("a", D(1969, 12, 31), 0.0001, {"splits": 2.0, "volume": 2.0**60}))
+    chunks = codec.encode_chunks(raw)
+    got = codec.decode_chunks(chunks, verify=True).orderBy("date").collect()
+    want = raw.drop("seq", "board").orderBy("date").collect()
+    assert [tuple(r[c] for c in raw.drop("seq", "board").columns) for r in got] == [tuple(r) for r in want]
+    assert codec.decode_chunks(chunks, ["close", "nonsense"]).columns == ["ticker", "date", "close"]
+    assert codec.decode_chunks(chunks.limit(0)).isEmpty()
+    for wrong in (chunks.withColumn("codec", F.lit("x")), chunks.withColumn("n", F.col("n") + 1), chunks.withColumn("sha256", F.lit("0")), chunks.withColumn("sha256", F.lit(None).cast("string"))):
+        with pytest.raises(Exception, match="unknown codec|count differs|digest differs"):
+            codec.decode_chunks(wrong, verify=True).collect()
+    with pytest.raises(Exception, match="repeats a date"):
+        codec.encode_chunks(raw.union(raw)).collect()
+
+
+def test_verification_can_fail(spark):
+    raw = rows(spark, ("a", D(2023, 1, 3), 1.0, {}), ("a", D(2024, 1, 3), 1.0, {}), ("b", D(2024, 1, 3), 1.0, {}), ("c", D(2024, 1, 3), 1.0, {}), ("d", D(2024, 1, 3), 1.0, {}))
+    manifest = codec.chunk_checksums(raw).where("ticker <> 'd'")
+    seen = raw.where("NOT (ticker = 'a' AND date < '2024-01-01')").withColumn("close", F.when(F.col("ticker") == "b", 1.0001).otherwise(F.col("close")))
+    got = {(r["ticker"], r["year"]): r["state"] for r in codec.verify_chunks(seen, manifest).collect()}
+    assert got == {("a", 2023): "missing", ("a", 2024): "ok", ("b", 2024): "corrupt", ("c", 2024): "ok", ("d", 2024): "extra"}
+    got = {r["ticker"]: r["state"] for r in codec.verify_chunks(seen.union(seen.where("ticker = 'c'")), manifest.withColumn("sha256", F.when(F.col("ticker") == "a", None).otherwise(F.col("sha256")))).where("year = 2024").collect()}
+    assert got == {"a": "corrupt", "b": "corrupt", "c": "corrupt", "d": "extra"}
+
+
+def test_a_fetch_goes_on_past_failures(spark):
+    class Flaky:
+        """Fails a few times for x, always for y; z has a row beyond the range."""
+
+        def __init__(self):
+            self.calls = 0
+
+        def fetch(self, ticker, start, end):
+            self.calls += 1
+            if ticker == "y" or (ticker == "x" and self.calls < 4):
+                raise TimeoutError("timed out" * 100)
+            extra = (1.0, 1.0, 1.0, 1.0, 1.0, 5.0, 0.0, 0.0)
+            return [(start, *extra), (end, *extra), (end + dt.timedelta(days=1), *extra)]
+
+    def no_wait(seconds):
+        assert 0 < seconds <= 90
+
+    wanted = spark.createDataFrame([("x",), ("y",), ("z",), ("z",)], "ticker string")
+    got = vendor.fetch_many(wanted, Flaky(), D(2024, 1, 2), D(2024, 1, 3), Retry(attempts=5), tasks=2, sleep=no_wait)
+    results = {r["ticker"]: (r["n_bars"], r["ok"], r["error"] and len(r["error"])) for r in vendor.fetch_results(wanted, got).collect()}
+    assert results == {"x": (2, True, None), "y": (0, False, 500), "z": (2, True, None)}
+
+
+def test_probes_have_three_outcomes(spark):
+    def no_wait(seconds):
+        assert 0 < seconds <= 90
+
+    def prober(code):
+        if code == "000003":
+            raise RuntimeError("404 no data found")
+        if code == "000004":
+            raise RuntimeError("HTTP 503")
+        return code == "000001"
+
+    codes_ = spark.createDataFrame([(f"00000{i}",) for i in range(1, 6)], "code string")
+    skip = codes_.where("code = '000005'")
+    answers = vendor.probe_many(codes_, prober, skip, Retry(attempts=3), tasks=2, sleep=no_wait)
+    assert {r["code"]: r["outcome"] for r in universe.probe_outcomes(codes_, answers, skip).collect()} == {"000001": "present", "000002": "absent", "000003": "absent", "000004": "unknown"}
+
+
+def test_pace_holds_over_threads():
+    import threading
+
+    now, slept = [0.0], []
+
+    def sleep(seconds):
+        slept.append(seconds)
+        now[0] += seconds
+
+    pace = vendor.Pace(5, clock=lambda: now[0], sleep=sleep)
+    threads = [threading.Thread(target=lambda: [pace.take() for _ in range(4)]) for _ in range(3)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert len(pace.past) <= 5 and now[0] >= 120 and all(0 < s <= 60 for s in slept)
+
+
+def test_settings_from_the_environment():
+    got = from_environment(Horizon(), {"BARLOOM_HORIZON_FIRST_DAY": "2020-02-03", "BARLOOM_HORIZON_OVERLAP_DAYS": "3", "OTHER": "x"})
+    assert got == Horizon(D(2020, 2, 3), 3) and from_environment(Retry(), {}) == Retry()
+    with pytest.raises(ValueError):
+        from_environment(Retry(), {"BARLOOM_RETRY_ATTEMPTS": "many"})
+
+
+def test_logs_show_no_passwords(capsys):
+    import logging
+
+    record = logging.LogRecord("x", logging.INFO, "f", 1, "open %s", ("mongodb://me:secret@host/db",), None)
+    session.logger("barloom.test").handlers[0].filters[0].filter(record)
+    assert record.getMessage() == "open mongodb://me:***@host/db"
+    assert len(session.logger("barloom.test").handlers) == 1
+
+
+def test_commands(spark, tmp_path, capsys):
+    def run(*args):
+        return cli.main([*args, "--root", f"{tmp_path}/root"], spark)
+
+    raw = rows(spark, *((t, D(2024, 1, 1 + d), 10.0 + d / 10, {}) for t in ("600000.SS", "600001.SS", "688001.SS") for d in range(8)))
+    raw.write.parquet(f"{tmp_path}/raw")
+    assert run("status") == cli.WRONG and run("init") == cli.DONE and run("init") == cli.DONE and run("info") == cli.DONE
+    assert run("load", "--source", f"{tmp_path}/raw", "--limit", "2") == cli.DONE
+    assert run("load", "--source", f"{tmp_path}/raw", "--missing-only") == cli.DONE
+    st = Store(spark, f"{tmp_path}/root/store")
+    assert st.bars().count() == 24
+    assert run("verify") == cli.DONE
+    raw.withColumn("close", F.col("close") + 0.01).withColumn("high", F.col("high") + 1).write.parquet(f"{tmp_path}/next")
+    assert run("update", "--source", f"{tmp_path}/next") == cli.DONE
+    assert st.bars().where("close = 10.01").count() == 3
+    listed = spark.createDataFrame([("600000", "A", True, True, False), ("600001", "B", True, True, False), ("600002", "C", True, True, False)], "code string, name string, in_screener boolean, in_probe boolean, failed boolean")
+    listed.write.parquet(f"{tmp_path}/listed")
+    assert run("discover", "--source", f"{tmp_path}/listed", "--complete") == cli.DONE
+    root = cli.Root(spark, f"{tmp_path}/root")
+    assert {r["ticker"]: r["status"] for r in root.master().collect()} == {"600000.SS": "active", "600001.SS": "active", "600002.SS": "active"}
+    listed.withColumns({"in_probe": F.lit(False), "failed": F.lit(True)}).write.parquet(f"{tmp_path}/unsure")
+    assert run("discover", "--source", f"{tmp_path}/unsure") == cli.STOPPED
+    assert run("load", "--source", f"{tmp_path}/raw") == cli.DONE
+    last = runs.recent(root.runs(), 1).first()
+    assert last["status"] == "ok" and root.master().where("ingest.state = 'ok'").count() == 2
+    assert run("load", "--source", f"{tmp_path}/raw", "--resume", last["id"]) == cli.DONE
+    assert run("load", "--source", f"{tmp_path}/none") == cli.UNREACHABLE
+    st.hold("someone")
+    assert run("load", "--source", f"{tmp_path}/raw") == cli.BUSY
+    st.release("someone")
+    assert run("guard") == cli.DONE
+    root.note("busy", "start", kind="update", status="running")
+    assert run("guard") == cli.BUSY
+    (tmp_path / "README").write_text("# Title\n")
+    assert run("status", "--into", f"{tmp_path}/README") == cli.DONE
+    once = (tmp_path / "README").read_text()
+    assert run("status", "--into", f"{tmp_path}/README") == cli.DONE
+    assert (tmp_path / "README").read_text().count(status.OPENS) == once.count(status.OPENS) == 1 and "**Data stale** through 2024-01-08" in once
 
 
 def test_sweep_equals_nested_loop(spark):
@@ -138,11 +343,25 @@ def test_transient_messages(spark):
     assert [r[0] for r in df.select(codes.is_transient(F.col("m"))).collect()] == [True, False, False, False]
 
 
-def test_bands_resolve_or_say_why(spark):
-    df = spark.createDataFrame([(float(10 ** (6 + i % 6)) * (1 + i),) for i in range(300)] + [(None,)], "market_cap double")
-    bands = universe.screen_bands(df, ceiling=50)
-    assert all(b.n_returned <= 50 for b in bands) and any(not b.saturated for b in bands)
-    assert universe.Band(0.0, 1e5).splittable() == "no_reported_market_cap"
+def test_bands_equal_halving_with_a_count_each(spark):
+    rng = np.random.default_rng(5)
+    edges = universe.band_edges()
+    caps = [float(x) for x in np.exp(rng.uniform(0, 30, 400))] + [0.0, 0.5, 1.0, 5e12, 6e12, -1.0] + [edges[k] for k in (1, 7, 512, 2048, 4095)] * 3 + [2.5e9] * 60 + [10.0] * 70
+    df = spark.createDataFrame([(c,) for c in [*caps, None]], "market_cap double")
+
+    def leaves(low, high, depth):
+        top = 5e12 if high is None else high
+        n = sum(low <= c <= top for c in caps)
+        why = None
+        if n >= 50 and high is not None:
+            why = "no_reported_market_cap" if high <= 1e6 else "interval_exhausted" if low > 0 and high / low < 1.01 else None
+        if n < 50 or why or depth == 12:
+            return [(low, high, depth, min(n, 50), n >= 50, why or ("max_depth" if n >= 50 else None))]
+        middle = (max(low, 1.0) * top) ** 0.5
+        return leaves(low, middle, depth + 1) + leaves(middle, high, depth + 1)
+
+    assert universe.screen_bands(df, ceiling=50) == leaves(0.0, None, 0)
+    assert universe.screen_bands(df.limit(0)) == [(0.0, None, 0, 0, False, None)]
 
 
 def test_master_soft_deletes_only_after_complete_discoveries(spark):
@@ -177,7 +396,22 @@ def test_normalise_folds_names_and_nan(spark):
     assert sources.empty(spark).schema == BARS
 
 
-def test_report_text():
-    assert report.splice("a\n", report.BEGIN + "x" + report.END).startswith("a\n\n<!--")
-    assert report.ago(dt.timedelta(hours=5)) == "5 h ago"
-    assert report.run_time({"run_id": "u-20240102T030405Z"}) == dt.datetime(2024, 1, 2, 3, 4, 5, tzinfo=dt.UTC)
+def test_examples_are_the_first_few(spark):
+    raw = rows(spark, *(("a", D(2024, 1, 1) + dt.timedelta(days=40 * k), 1.0, {}) for k in range(9)))
+    got = quality.examples(raw, 3).first()
+    assert (got["check"], got["n"], got["shown"]) == ("long_gaps", 8, ["2024-01-01..2024-02-10", "2024-02-10..2024-03-21", "2024-03-21..2024-04-30"])
+
+
+def test_status_text():
+    text = status.block({"state": "fresh", "last": "2024-01-08"})
+    assert "**Data fresh** through 2024-01-08" in text and "unknown bars" in text
+    assert status.placed("a\n", text) == f"a\n\n{text}\n"
+    assert status.placed(f"a\n{status.OPENS}old\\1{status.CLOSES}\nb\n", text) == f"a\n{text}\nb\n"
+    assert status.placed("", text) == f"{text}\n"
+
+
+def test_storage_text(spark):
+    df = spark.createDataFrame([(212_650_000, 202_000_000, 1)], "used_bytes bigint, data_bytes bigint, objects bigint")
+    row = status.storage_text(store.storage_facts(df).withColumn("most_bytes", F.lit(512 << 20))).first()
+    assert row["storage"] == "202.8 of 512 MiB (39.6 %), encoded 192.6 MiB, ratio 0.95"
+    assert store.storage_facts(df.withColumn("used_bytes", F.lit(0))).first()["compression_ratio"] == 0.0
