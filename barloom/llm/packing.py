@@ -1,6 +1,6 @@
 """Best-fit packing of token sequences by exact-complement hashing over the histogram of lengths.
 
-Every text is tokenised once by the tokenizers library; a document's ids end with
+Every text is tokenised once; a document's ids are those of the tokenizers library and end with
 an end-of-text id, and only documents beyond the capacity are cut (the first
 piece takes the remainder). The plan works on counts by length, of which there
 are at most ``capacity``, whatever the input. Lengths, sums of two and sums of
@@ -18,13 +18,14 @@ Empty input gives no rows.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,79 +34,75 @@ from tokenizers import Tokenizer
 from barloom.llm.common import discard, keyed_text, slices, stored
 
 # Fixed value: how byte-level vocabularies of this family part a text.
-PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+CHECKED = 8  # texts of a slice whose ids are held against the library's
 PIECES = "doc_id bigint, piece int, start bigint, length int, ids_crc32 bigint, part int, nth bigint"
 Pattern = tuple[tuple[int, ...], int]
 
 
+def _bytes_of(library: Tokenizer) -> dict[str, int]:
+    """The byte that each letter of the vocabulary stands for, asked from the library character by character."""
+    out: dict[str, int] = {}
+    samples = [*range(0x801), *range(0x1000, 0x10000, 0x1000), *range(0x10000, 0x110000, 0x40000)]
+    for code in samples:
+        letters = "".join(part for part, _ in library.pre_tokenizer.pre_tokenize_str(chr(code)))
+        out |= dict(zip(letters, chr(code).encode(), strict=True))
+    return out
+
+
+def _by_ranks(path: str, library: Tokenizer) -> tiktoken.Encoding | None:
+    """The same vocabulary as merge ranks, or None where ids do not follow the order of its merges."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    vocab, added = model["vocab"], {t.content: i for i, t in library.get_added_tokens_decoder().items()}
+    merged = [vocab["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in model["merges"]]
+    if merged != sorted(set(merged)):
+        return None
+    letters = _bytes_of(library)
+    ranks = {bytes(map(letters.__getitem__, t)): i for t, i in vocab.items() if t not in added and all(c in letters for c in t)}
+    return tiktoken.Encoding("barloom", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
+
+
 class Ids:
-    """Ids of texts by the tokenizers library, remembered for each word up to a bound in bytes.
+    """Ids of texts as the tokenizers library gives them, several times faster.
 
-    Byte-level vocabularies of this kind part a text before any lone space, whatever
-    stands around it, so a text is the sequence of its words, each with the space
-    before it; words not seen before are parted further. Texts with two spaces
-    in a row go to the library whole, and so do texts that hold an added token,
-    which the library looks for first.
+    Where the vocabulary's ids follow its merges, they are also ranks, by which
+    tiktoken merges; the ids are the same. ``checked`` holds a text's ids against
+    the library's own, which are used for all texts once any differ, or where
+    the vocabulary is of another kind.
     """
 
-    def __init__(self, path: str, memory: int = 128 << 20) -> None:
-        self.model = Tokenizer.from_file(path)
-        self.added = [t.content for t in self.model.get_added_tokens_decoder().values()]
-        self.memory, self.held, self.known, self.older = memory, 0, {}, {}
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _keep(self, word: str, ids: bytes) -> bytes:
-        if (size := len(word) + len(ids) + 150) <= self.memory // 64:
-            if self.held + size > self.memory // 2:  # what was not asked for in a while goes with the older half
-                self.older = dict(self.known)
-                self.known.clear()
-                self.held = 0
-            self.known[word] = ids
-            self.held += size
-        return ids
-
-    def _known(self, part: str) -> bytes:
-        return self.known.get(part) or self._keep(part, self.older.get(part) or self._whole(part))
-
-    def _word(self, word: str) -> bytes:
-        if (ids := self.older.get(word)) or word[1:].isalpha():
-            return self._keep(word, ids or self._whole(word))
-        found = [self._known(p) for p in PARTS.findall(word)]
-        return self._keep(word, b"".join(found)) if len(found) < 3 else b"".join(found)
-
-    def ids(self, text: str) -> bytes:
-        """Little-endian 32-bit ids."""
-        if "  " in text or any(t in text for t in self.added):
-            return self._whole(text)
-        known = self.known.get
-        words = text.split(" ")
-        parts = [known(words[0]) if words[0] else b""]
-        if parts[0] is None:
-            parts[0] = self._word(words[0])
-        for w in words[1:]:
-            w = " " + w
-            parts.append(known(w) or self._word(w))
-        return b"".join(parts)
+    def __init__(self, path: str) -> None:
+        self.library = Tokenizer.from_file(path)
+        self.fast = _by_ranks(path, self.library)
+
+    def ids(self, text: str) -> np.ndarray:
+        found = self.fast.encode(text, allowed_special="all") if self.fast else self.library.encode(text, add_special_tokens=False).ids
+        return np.array(found, "<u4")
+
+    def checked(self, text: str) -> bool:
+        if self.fast and self.fast.encode(text, allowed_special="all") != self.library.encode(text, add_special_tokens=False).ids:
+            self.fast = None
+        return self.fast is not None
 
 
 def pieces(df: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a piece with its place in its document, and its rank by length in its partition."""
     names = [x.split()[0] for x in PIECES.split(", ")]
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()]
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, seen = Ids(tokenizer_path), TaskContext.get().partitionId(), Counter()
         for batch in slices(it):
-            rows = []
-            for doc, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = encoder.ids(body) + end
-                n = len(ids) // 4
+            rows, texts = [], batch.column(1).to_pylist()
+            for body in texts[:: max(1, len(texts) // CHECKED)]:
+                encoder.checked(body)
+            for doc, body in zip(batch.column(0).to_pylist(), texts, strict=True):
+                ids = np.append(encoder.ids(body), np.uint32(end_id))
+                n = len(ids)
                 cuts = [0, *range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [0, n]
                 for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    rows.append((doc, k, a, b - a, zlib.crc32(ids[4 * a : 4 * b]), part, seen[b - a]))
+                    rows.append((doc, k, a, b - a, zlib.crc32(ids[a:b].tobytes()), part, seen[b - a]))
                     seen[b - a] += 1
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)], names=names)
 
