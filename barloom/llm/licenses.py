@@ -27,17 +27,29 @@ SENTENCES = {
     "mit-title": "the mit license",
     "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions",
     "mit-notice": "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
+    "mit-disclaimer": "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement",
+    "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "isc-disclaimer": "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness",
     "apache-2-short": "licensed under the apache license version 2.0",
     "apache-2-grant": "licensed under the apache license version 2.0 the license",
     "apache-2-use": "you may not use this file except in compliance with the license",
     "apache-2-copy": "you may obtain a copy of the license at",
+    "apache-2-basis": "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
     "gpl-3-short": "this work is licensed under the gnu general public license version 3",
     "gpl-grant": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "gpl-2-grant": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "lgpl-2-grant": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2.1 of the license or at your option any later version",
+    "lgpl-warranty": "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "agpl-grant": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
     "gpl-warranty": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
     "bsd-forms": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "bsd-source": "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
     "bsd-binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
     "bsd-names": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-disclaimer": "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    "mpl-2-form": "this source code form is subject to the terms of the mozilla public license v",
+    "epl-2-terms": "this program and the accompanying materials are made available under the terms of the eclipse public license 2.0 which is available at https www.eclipse.org legal epl 2.0",
+    "unlicense-domain": "this is free and unencumbered software released into the public domain",
     "cc-by-4-short": "licensed under cc by 4.0",
     "cc-by-sa-4-short": "licensed under cc by sa 4.0",
     "cc-by-nc-4-short": "licensed under cc by nc 4.0",
@@ -45,16 +57,38 @@ SENTENCES = {
     "spdx-mit": "spdx license identifier mit",
     "spdx-apache-2": "spdx license identifier apache 2.0",
     "spdx-gpl-3": "spdx license identifier gpl 3.0 only",
+    "spdx-gpl-3-later": "spdx license identifier gpl 3.0 or later",
+    "spdx-gpl-2": "spdx license identifier gpl 2.0 only",
+    "spdx-lgpl-2-later": "spdx license identifier lgpl 2.1 or later",
+    "spdx-agpl-3-later": "spdx license identifier agpl 3.0 or later",
+    "spdx-bsd-2": "spdx license identifier bsd 2 clause",
+    "spdx-bsd-3": "spdx license identifier bsd 3 clause",
+    "spdx-isc": "spdx license identifier isc",
+    "spdx-mpl-2": "spdx license identifier mpl 2.0",
+    "spdx-epl-2": "spdx license identifier epl 2.0",
+    "spdx-unlicense": "spdx license identifier unlicense",
 }
 # Licence rules in the order in which they are tried, each a run of sentence identifiers.
 RULES = [
     ("BSD-3-Clause", "bsd-forms bsd-source bsd-binary bsd-names"),
+    ("BSD-2-Clause", "bsd-forms bsd-source bsd-binary bsd-disclaimer"),
     ("BSD-2-Clause", "bsd-forms bsd-source bsd-binary"),
+    ("MIT", "mit-grant mit-notice mit-disclaimer"),
     ("MIT", "mit-grant mit-notice"),
+    ("ISC", "isc-grant isc-disclaimer"),
+    ("ISC", "isc-grant"),
+    ("AGPL-3.0-or-later", "agpl-grant"),
+    ("LGPL-2.1-or-later", "lgpl-2-grant lgpl-warranty"),
+    ("LGPL-2.1-or-later", "lgpl-2-grant"),
+    ("GPL-2.0-or-later", "gpl-2-grant gpl-warranty"),
+    ("GPL-2.0-or-later", "gpl-2-grant"),
     ("GPL-3.0-or-later", "gpl-grant gpl-warranty"),
     ("GPL-3.0-or-later", "gpl-grant"),
     ("Apache-2.0", "apache-2-grant apache-2-use"),
     ("Apache-2.0", "apache-2-short"),
+    ("MPL-2.0", "mpl-2-form"),
+    ("EPL-2.0", "epl-2-terms"),
+    ("Unlicense", "unlicense-domain"),
     ("GPL-3.0-only", "gpl-3-short"),
     ("CC-BY-NC-4.0", "cc-by-nc-4-short"),
     ("CC-BY-SA-4.0", "cc-by-sa-4-short"),
@@ -66,10 +100,20 @@ RULES = [
     ("MIT", "spdx-mit"),
     ("Apache-2.0", "spdx-apache-2"),
     ("GPL-3.0-only", "spdx-gpl-3"),
+    ("GPL-3.0-or-later", "spdx-gpl-3-later"),
+    ("GPL-2.0-only", "spdx-gpl-2"),
+    ("LGPL-2.1-or-later", "spdx-lgpl-2-later"),
+    ("AGPL-3.0-or-later", "spdx-agpl-3-later"),
+    ("BSD-2-Clause", "spdx-bsd-2"),
+    ("BSD-3-Clause", "spdx-bsd-3"),
+    ("ISC", "spdx-isc"),
+    ("MPL-2.0", "spdx-mpl-2"),
+    ("EPL-2.0", "spdx-epl-2"),
+    ("Unlicense", "spdx-unlicense"),
     ("LicenseRef-all-rights-reserved", "all-rights-reserved"),
 ]
 # Every known sentence holds one of these within a word, which normalisation never changes, so a text without any of them has no known sentence.
-CUES = "licens|permission|copyright|reserved|warranty|redistribution|domain"
+CUES = "licens|permission|copyright|reserved|warrant|redistribution|domain"
 SPLIT = r"[.!?;:]+[\x09-\x0D\x20]+|[\r\n]+"
 JUNK = r"[^a-z0-9.]+"
 
