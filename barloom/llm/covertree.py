@@ -11,12 +11,14 @@ most k rows a query and block.
 
 Vectors that are null, or hold null or non-finite components, take no part;
 vectors of another length than a query's are no candidates of it. An empty
-vector scores 0. Repeated ids count as rows of their own, but no row of the
+vector scores 0. Scores beyond 64 bits count as the end of the bigint range that
+they pass, in ranks too. Repeated ids count as rows of their own, but no row of the
 query's own id is its candidate. Empty input gives no rows.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
 
@@ -182,6 +184,15 @@ def search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors:
     return best.score, best.id
 
 
+def _integer(x: float) -> int:
+    """A whole double as an integer; what scaling has made infinite counts as the largest double."""
+    return int(x) if math.isfinite(x) else int(math.copysign(1.7976931348623157e308, x))
+
+
+def _bounded(score: int) -> int:
+    return max(-(2**63), min(2**63 - 1, score))
+
+
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), dim)
@@ -192,7 +203,9 @@ def top_k(df: DataFrame, k: int = 20, scale: float = 64.0, every: int = 20, key:
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = df.select(F.col(key).cast("bigint").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).where(~bad)
-    rows = rows.select("vec_id", F.size("v").alias("dim"), F.transform("v", lambda x: F.floor(x * F.lit(float(scale)))).alias("v"))
+    # beyond 2**53 a double is whole already, and a bigint would not hold all of them
+    whole = F.transform("v", lambda x: F.when(F.abs(x * F.lit(float(scale))) < 2.0**53, F.floor(x * F.lit(float(scale))).cast("double")).otherwise(x * F.lit(float(scale))))
+    rows = rows.select("vec_id", F.size("v").alias("dim"), whole.alias("v"))
     is_query = F.col("vec_id") % every == 0
     n, n_queries = rows.select(F.count("*"), F.count_if(is_query)).first()
     r_blocks, q_blocks = max(1, math.ceil(n / block)), max(1, math.ceil(n_queries / block))
@@ -213,13 +226,15 @@ def top_k(df: DataFrame, k: int = 20, scale: float = 64.0, every: int = 20, key:
         q, r = (_matrix(t["v"].combine_chunks(), dim) for t in (a, b))
         most = float(np.abs(q).max(initial=0)) * float(np.abs(r).max(initial=0)) * max(1, dim)
         if most < 2.0**52:
-            s, i = search(qid, q.astype(np.float64), rid, r.astype(np.float64), k)
+            s, i = search(qid, q, rid, r, k)
             at = np.nonzero(~np.isneginf(s))
             return pa.table([pa.array(qid[at[0]]), pa.array(i[at]), pa.array(s[at].astype(np.int64))], names=names)
         out: list[tuple[int, int, int]] = []  # beyond exact doubles: Python's integers
-        for x, own in zip(q.astype(object), qid):
-            every = sorted((-int(x @ y), int(j)) for y, j in zip(r.astype(object), rid) if j != own)
-            out += [(int(own), j, -s) for s, j in every[:k]]
+        exact = [[_integer(c) for c in y] for y in r]
+        for x, own in zip(q, qid):
+            ints = [_integer(c) for c in x]
+            every = heapq.nsmallest(k, ((-_bounded(sum(a * b for a, b in zip(ints, y))), int(j)) for y, j in zip(exact, rid) if j != own))
+            out += [(int(own), j, -s) for s, j in every]
         return pa.table([pa.array(c, pa.int64()) for c in (zip(*out) if out else ([], [], []))], names=names)
 
     keys = ["dim", "qb", "rb"]
@@ -230,10 +245,10 @@ def top_k(df: DataFrame, k: int = 20, scale: float = 64.0, every: int = 20, key:
 
 def brute_force(ids: Iterator[int], vectors: list, k: int, scale: float = 64.0, every: int = 20) -> list[tuple[int, int, int, int]]:
     """The same rows by comparing all; for tests."""
-    good = [(i, [math.floor(scale * x) for x in v]) for i, v in zip(ids, vectors) if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    good = [(i, [math.floor(scale * x) if math.isfinite(scale * x) else _integer(scale * x) for x in v]) for i, v in zip(ids, vectors) if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
     for qi, q in good:
         if qi % every == 0:
-            scored = sorted((-sum(a * b for a, b in zip(q, v)), i) for i, v in good if i != qi and len(v) == len(q))[:k]
+            scored = sorted((-_bounded(sum(a * b for a, b in zip(q, v))), i) for i, v in good if i != qi and len(v) == len(q))[:k]
             out += [(qi, rank + 1, i, -s) for rank, (s, i) in enumerate(scored)]
     return out
