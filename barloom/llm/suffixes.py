@@ -299,10 +299,11 @@ def cut_words(text: str, spans: list[dict]) -> str:
 
 
 def remove_repeats(df: DataFrame, min_words: int = 50, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``df``, all columns, with repeated passages cut from the text."""
-    spans = repeated_spans(df, min_words, key=key, text=text).select(F.col("doc_id").alias("__id"), F.col("row").alias("__row"), F.col("spans").alias("__spans"))
-    joined = df.join(spans, (F.col(key).cast("bigint") == F.col("__id")) & (_row(F.col(text)) == F.col("__row")), "left").select(*df.columns, "__spans")
+    """The rows of ``df``, all columns whatever their names, with repeated passages cut from the text."""
     names = df.columns
+    spans = repeated_spans(df, min_words, key=key, text=text).select("doc_id", "row", "spans")
+    held = df.select(F.col(key).cast("bigint").alias("doc_id"), _row(F.col(text)).alias("row"), F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names))).alias("held"))
+    joined = held.join(spans, ["doc_id", "row"], "left").select("held.*", "spans")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = names.index(text)
