@@ -134,7 +134,8 @@ def test_html_text_between_cells():
         ("<table><tr><td>a</td></tr>tail</table>", "tail\na"),
         ("<table><tr><b>one</b><td>a<tr>two<td>b</table>", "one\ntwo\na\nb"),
         ("<table><form><tr><td>a<td>b<tr><td>c</form></table>", "a  b\nc"),
-        ("<table><tr><form hidden><td>no</td></form><td>a<table><tr>in<td>b</table></table>", "a in b"),
+        ("<table><tr><form hidden><td>no</td></form><td>a<table><tr>in<td>b</table></table>", "a\n\nin\nb"),  # cells keep their lines
+        ("<table><tr><td>a<br>b<td>c<tr><td>dd<td><ul><li>e<li>f</ul></table>", "a   c\nb\ndd  - e\n    - f"),
         ("<table><caption>k</caption><colgroup>c</colgroup><tbody><p>p</p><tr><td>a</table>", None),
     ]:
         got = html.render(page)
@@ -145,6 +146,20 @@ def test_html_text_between_cells():
     assert html.render("<table><caption>" * 60 + "x") == "x"
 
 
+def test_html_of_any_depth():
+    for depth in (5, 250, 5000, 30_000):
+        assert html.render("<div>" * depth + "<p hidden>secret</p><p style='display: none'>secret</p><p>shown</p>") == "shown"
+    for tag in ("b", "blockquote", "ul><li", "table><tr><td", "dd", "form", "table><caption", "pre", "p", "td"):
+        assert html.render(f"<{tag}>" * 20_000 + "deep").split()[-1] == "deep", tag
+    assert html.render("<table>" + "<form>" * 20_000 + "<td>deep") == "deep"
+
+
+def test_html_lists_of_options_and_noscript():
+    assert html.render("<select><option>x<option selected>y</select> <select multiple><option>p<optgroup label=g><option>q</select> <select><option>1<option>2</select>") == "y p q 1"
+    assert html.render("<noscript><p>no</p></noscript><p>yes</p><noscript>no</noscript>") == "yes"
+    assert html.render("<table><tr><td colspan=99999999999>a<td>b</table>").split() == ["a", "b"]
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(0)
     base = rng.normal(size=(90, 8))
