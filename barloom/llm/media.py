@@ -10,7 +10,14 @@ tables reads all blocks at once in numpy. Other tables are decoded by symbol.
 
 Null text is empty; any text, short or long, is padded with zero bytes to a
 positive multiple of 64. A payload beyond one image's height goes on in further
-images of the same stream. Rows are kept one for one; other columns are ignored.
+images of the same stream. The feature has every image's size and the
+average hash of its thumbnail, and their number. Rows are kept one for one; other
+columns are ignored.
+
+``decode_jpeg`` reads files of other makers too: AC terms are passed over, restart
+intervals start anew, of several components the first is the thumbnail. Media
+that are null, cut short or no baseline JPEG raise ``ValueError`` there, and have
+null digests and the feature ``unreadable`` in ``media_features``.
 """
 
 from __future__ import annotations
@@ -119,6 +126,13 @@ def _differences(dc: Huffman, stride: int) -> np.ndarray:
 
 def decode_jpeg(data: bytes, at: int = 0) -> tuple[int, int, np.ndarray, int]:
     """(width, height, thumbnail of luminance DC samples, offset after the image) of a baseline JPEG."""
+    try:
+        return _decode(data, at)
+    except (IndexError, KeyError) as e:
+        raise ValueError(f"broken image: {e}") from e
+
+
+def _decode(data: bytes, at: int) -> tuple[int, int, np.ndarray, int]:
     if data[at : at + 2] != b"\xff\xd8":
         raise ValueError("no JPEG start marker")
     at += 2
@@ -131,6 +145,8 @@ def decode_jpeg(data: bytes, at: int = 0) -> tuple[int, int, np.ndarray, int]:
             at += 1
             continue
         size = int.from_bytes(data[at + 2 : at + 4], "big")
+        if size < 2 or at + 2 + size > len(data):
+            raise ValueError("segment cut short")
         body = data[at + 4 : at + 2 + size]
         at += 2 + size
         if marker == 0xDB:
@@ -231,7 +247,10 @@ def _by_symbol(scan: bytes, plan: list[tuple[int, Huffman, Huffman]], mcus: int,
     for piece in pieces:
         piece = piece.replace(b"\xff\x00", b"\xff") + b"\xff" * 8
         hold, held, at, last = 0, 0, 0, {}
+        end = len(piece)
         for _ in range(min(restart or mcus, mcus - done)):
+            if at - held // 8 > end:
+                raise ValueError("scan cut short")
             for i, dc, ac in plan:
                 k = 0
                 while k < 64:
@@ -256,6 +275,8 @@ def _by_symbol(scan: bytes, plan: list[tuple[int, Huffman, Huffman]], mcus: int,
                         held -= bits
                         k += (s >> 4) + 1
             done += 1
+    if done < mcus:
+        raise ValueError("scan cut short")
     return out
 
 
@@ -303,8 +324,14 @@ def padded(raw: bytes) -> bytes:
 def _features(keys: list, n_bytes: list, media: list) -> list:
     out: list[list] = [keys, n_bytes, [], [], [], [], [], []]
     for m in media:
-        payload, feature = unpack(m)
-        for column, value in zip(out[2:], (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(m), hashlib.sha256(m).hexdigest(), feature), strict=True):
+        try:
+            payload, feature = unpack(m or b"")
+            if not m:
+                raise ValueError("no image")
+            values = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(m), hashlib.sha256(m).hexdigest(), feature)
+        except ValueError:
+            values = (None, None, None, None if m is None else len(m), None if m is None else hashlib.sha256(m).hexdigest(), "unreadable")
+        for column, value in zip(out[2:], values, strict=True):
             column.append(value)
     return out
 

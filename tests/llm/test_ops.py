@@ -530,3 +530,87 @@ def test_license_notices_of_further_licences(spark):
     df = spark.createDataFrame(list(enumerate(NOTICES.values())), "doc_id bigint, text string")
     got = {r["doc_id"]: r["license"] for r in licenses.scan_licenses(df).collect()}
     assert [got[i] for i in range(len(NOTICES))] == list(NOTICES)
+
+
+# The Huffman table that baseline files mostly carry for luminance DC terms; codes by length from 1 to 16, then symbols.
+DC_COUNTS, DC_SYMBOLS = [0, 1, 5, 1, 1, 1, 1, 1, 1, 0, 0, 0, 0, 0, 0, 0], list(range(12))
+
+
+def jpeg(width, height, factors, restart, rng):
+    """A baseline JPEG of random DC and AC terms, and the DC terms of its first component by row; written here alone."""
+    ac_symbols = [0x00, 0x01, 0x02, 0x11, 0x31, 0xF0, 0x03]
+    ac_counts = [0, 2, 1, 2, 0, 1, 0, 1] + [0] * 8
+
+    def codes(counts, symbols):
+        out, code, k = {}, 0, 0
+        for n, c in enumerate(counts, 1):
+            for _ in range(c):
+                out[symbols[k]] = format(code, f"0{n}b")
+                code, k = code + 1, k + 1
+            code <<= 1
+        return out
+
+    dc, ac = codes(DC_COUNTS, DC_SYMBOLS), codes(ac_counts, ac_symbols)
+
+    def number(v, s):
+        return format(v if v >= 0 else v + (1 << s) - 1, f"0{s}b") if s else ""
+
+    h, v = max(f[0] for f in factors), max(f[1] for f in factors)
+    across, down = -(-width // (8 * h)), -(-height // (8 * v))
+    first = {}
+    scan, bits, last = b"", "", [0] * len(factors)
+
+    def flushed():
+        body = bits + "1" * (-len(bits) % 8)
+        return bytes(int(body[i : i + 8], 2) for i in range(0, len(body), 8)).replace(b"\xff", b"\xff\x00")
+
+    for m in range(across * down):
+        if restart and m and m % restart == 0:
+            scan += flushed() + bytes([0xFF, 0xD0 + (m // restart - 1) % 8])
+            bits, last = "", [0] * len(factors)
+        for c, (fh, fv) in enumerate(factors):
+            for y in range(fv):
+                for x in range(fh):
+                    level = rng.randint(-200, 200)
+                    s = abs(level - last[c]).bit_length()
+                    bits += dc[s] + number(level - last[c], s)
+                    last[c] = level
+                    if c == 0:
+                        first[m // across * fv + y, m % across * fh + x] = level
+                    k = 1
+                    while k < 64:
+                        symbol = rng.choice([t for t in ac_symbols if k + (t >> 4) < 64])
+                        bits += ac[symbol] + "".join(rng.choice("01") for _ in range(symbol & 15))
+                        if symbol == 0:
+                            break
+                        k += (symbol >> 4) + 1
+    segment = lambda marker, body: bytes([0xFF, marker]) + (len(body) + 2).to_bytes(2, "big") + bytes(body)
+    out = b"\xff\xd8" + segment(0xFE, b"a comment \xff\xd8") + segment(0xDB, [0, *[4] * 64])
+    out += segment(0xC0, [8, *height.to_bytes(2, "big"), *width.to_bytes(2, "big"), len(factors), *(x for c, (fh, fv) in enumerate(factors) for x in (c + 1, fh << 4 | fv, 0))])
+    out += segment(0xC4, [0x00, *DC_COUNTS, *DC_SYMBOLS, 0x10, *ac_counts, *ac_symbols])
+    if restart:
+        out += segment(0xDD, restart.to_bytes(2, "big"))
+    out += segment(0xDA, [len(factors), *(x for c in range(len(factors)) for x in (c + 1, 0)), 0, 63, 0])
+    fh, fv = factors[0]
+    rows, cols = -(-(-(-height * fv // v)) // 8), -(-(-(-width * fh // h)) // 8)
+    return out + scan + flushed() + b"\xff\xd9", [[first[y, x] for x in range(cols)] for y in range(rows)]
+
+
+def test_media_of_other_makers():
+    rng = random.Random(12)
+    for width, height, factors, restart in ((64, 40, [(1, 1)], 0), (70, 33, [(1, 1)], 3), (50, 50, [(2, 2), (1, 1), (1, 1)], 0), (100, 37, [(2, 2), (1, 1), (1, 1)], 2), (33, 65, [(2, 1), (1, 1), (1, 1)], 1), (8, 8, [(1, 1), (1, 1), (1, 1)], 9)):
+        data, levels = jpeg(width, height, factors, restart, rng)
+        got = media.decode_jpeg(data + b"more")
+        want = np.clip((np.array(levels) * 4 + 4) // 8 + 128, 0, 255)
+        assert got[:2] == (width, height) and got[3] == len(data) and (got[2] == want).all()
+        for cut in rng.sample(range(len(data) - 2), 25):  # no cut stream passes
+            with pytest.raises(ValueError):
+                media.decode_jpeg(data[:cut])
+
+
+def test_media_that_cannot_be_read(spark):
+    good = media.pack(media.padded(b"text"))
+    df = spark.createDataFrame([(1, 4, good), (2, 0, None), (3, 0, b""), (4, 0, good[:-9]), (5, 0, b"no image")], "doc_id bigint, n_bytes bigint, media binary")
+    got = {r["doc_id"]: (r["payload_bytes"], r["feature"]) for r in media.media_features(df).collect()}
+    assert got[1][0] == 64 and got[1][1] != "unreadable"
+    assert {got[d] for d in (2, 3, 4, 5)} == {(None, "unreadable")}
