@@ -11,6 +11,8 @@ stands for is compared with its neighbours in a second sort, except where the wh
 around the suffix equals the neighbour's already. Both sorts are range
 partitioned by content, document and place, so equal passages, however many,
 spread over tasks, and the comparison carries across partition borders.
+Stretches and windows are known by two hashes, 126 bits together, so that even
+among 10**14 windows unequal ones meet with a chance under 10**-9.
 
 The first occurrence stays, all later ones are repeated. Words are runs without
 ASCII white space, compared as they are. Null and empty texts, and rows with a
@@ -27,30 +29,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.bitmaps import collect_bitmap, maybe
+from barloom.llm.bitmaps import maybe, shared_bitmap
 from barloom.llm.common import discard, keyed_text, slices, stored
 from barloom.llm.jaccard import MIX, Shingler
 
 GRAM = 4
-BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 1 << 64)
+BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 class _Powers:
-    """Powers of the hash base and of its inverse modulo 2**64."""
+    """Powers of a hash base and of its inverse modulo 2**64."""
 
-    def __init__(self) -> None:
+    def __init__(self, base: int) -> None:
+        self.bases = base, pow(base, -1, 1 << 64)
         self.up = self.down = np.ones(1, np.uint64)
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             size = max(n, 2 * len(self.up))
-            self.up, self.down = (np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, b, np.uint64)])) for b in (BASE, INVERSE))
+            self.up, self.down = (np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, b, np.uint64)])) for b in self.bases)
         return self.up, self.down
 
 
@@ -72,7 +74,7 @@ class Passages:
         if reach + GRAM > min_words:
             raise ValueError("a window must hold all its minimiser's neighbours")
         self.min_words, self.reach = min_words, reach
-        self.words, self.powers = Shingler(1), _Powers()
+        self.words, self.powers = Shingler(1), [_Powers(b) for b in BASES]
 
     def read(self, text: str) -> bool:
         raw = text.encode("utf-8", "surrogatepass").split()
@@ -84,8 +86,12 @@ class Passages:
         for j in range(GRAM):
             g = (g ^ w[j : n - GRAM + 1 + j]) * MIX[j]
             g ^= g >> np.uint64(29)
-        up, self.down = self.powers.upto(n + 1)
-        self.sums = np.concatenate([[np.uint64(0)], np.cumsum(w * up[:n])])
+        self.down, self.sums = [], []
+        for powers in self.powers:
+            up, down = powers.upto(n + 1)
+            self.down.append(down)
+            self.sums.append(np.concatenate([[np.uint64(0)], np.cumsum(w * up[:n])]))
+            w = (w ^ (w >> np.uint64(32))) * MIX[4]  # the second hash sees other numbers for the words
         starts = n - self.min_words + 1
         at = least(g, self.reach)[:starts]
         self.lo = np.nonzero(np.concatenate([[True], at[1:] != at[:-1]]))[0]
@@ -93,9 +99,9 @@ class Passages:
         self.count = np.diff(np.append(self.lo, starts))
         return True
 
-    def stretch(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """63-bit hashes of the words from a to b."""
-        h = (self.sums[b] - self.sums[a]) * self.down[a]
+    def stretch(self, a: np.ndarray, b: np.ndarray, which: int = 0) -> np.ndarray:
+        """63-bit hashes of the words from a to b, by the first or second base."""
+        h = (self.sums[which][b] - self.sums[which][a]) * self.down[which][a]
         h ^= h >> np.uint64(31)
         h *= MIX[1]
         h ^= h >> np.uint64(29)
@@ -105,9 +111,9 @@ class Passages:
         """Hashes of the words that every window has from its minimiser on."""
         return self.stretch(self.pos, self.pos + self.min_words - self.reach + 1)
 
-    def stretches(self) -> np.ndarray:
+    def stretches(self, which: int) -> np.ndarray:
         """Hashes of all that a minimiser's windows cover, and of their places around it."""
-        h = self.stretch(self.lo, self.lo + self.count - 1 + self.min_words)
+        h = self.stretch(self.lo, self.lo + self.count - 1 + self.min_words, which)
         return (h ^ ((self.pos - self.lo) * 1_000_003 + self.count)) & np.int64((1 << 63) - 1)
 
 
@@ -124,8 +130,8 @@ def _place(doc: int | np.ndarray, row: int | np.ndarray, lo: np.ndarray) -> np.n
 
 
 def _scan(docs: DataFrame, min_words: int, reach: int) -> DataFrame:
-    """suffix, stretch, doc_id, row, lo, count of every minimiser."""
-    names = ["suffix", "stretch", "doc_id", "row", "lo", "count"]
+    """suffix, stretch, stretch2, doc_id, row, lo, count of every minimiser."""
+    names = ["suffix", "stretch", "stretch2", "doc_id", "row", "lo", "count"]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = Passages(min_words, reach)
@@ -133,12 +139,12 @@ def _scan(docs: DataFrame, min_words: int, reach: int) -> DataFrame:
             out: list[list[np.ndarray]] = [[] for _ in names]
             for doc, text, row in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 if p.read(text):
-                    for column, x in zip(out, (p.suffixes(), p.stretches(), np.full(len(p.lo), doc, np.int64), np.full(len(p.lo), row, np.int64), p.lo.astype(np.int32), p.count.astype(np.int32)), strict=True):
+                    for column, x in zip(out, (p.suffixes(), p.stretches(0), p.stretches(1), np.full(len(p.lo), doc, np.int64), np.full(len(p.lo), row, np.int64), p.lo.astype(np.int32), p.count.astype(np.int32)), strict=True):
                         column.append(x)
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=names)
 
-    return docs.mapInArrow(run, "suffix bigint, stretch bigint, doc_id bigint, row bigint, lo int, count int")
+    return docs.mapInArrow(run, "suffix bigint, stretch bigint, stretch2 bigint, doc_id bigint, row bigint, lo int, count int")
 
 
 def _compare_suffixes(sorted_rows: DataFrame) -> DataFrame:
@@ -154,14 +160,14 @@ def _compare_suffixes(sorted_rows: DataFrame) -> DataFrame:
         while not ended:
             batch = next(it, None)
             ended = batch is None
-            rows = [] if ended else [batch.column(i).to_numpy() for i in range(6)]
+            rows = [] if ended else [batch.column(i).to_numpy() for i in range(7)]
             if ended and held is None:
                 return
             if held is not None:
                 rows = [np.concatenate([h, r]) for h, r in zip(held, rows, strict=True)] if not ended else held
             if not len(rows[0]):
                 continue
-            suffix, stretch, doc, row, lo, count = rows
+            suffix, stretch, stretch2, doc, row, lo, count = rows
             n = len(suffix) if ended else len(suffix) - 1
             if n:
                 before = np.concatenate([[prior[0] if prior else -1], suffix[:-1]])
@@ -169,51 +175,49 @@ def _compare_suffixes(sorted_rows: DataFrame) -> DataFrame:
                 like_next = np.append(suffix[1:] == suffix[:-1], ended)
                 if prior is None:
                     like_next[0] = True
-                same = like_before & (stretch == np.concatenate([[prior[1] if prior else -1], stretch[:-1]]))
-                source = np.concatenate([[prior[2] if prior else -1], doc[:-1]])
+                was = [np.concatenate([[prior[k] if prior else -1], x[:-1]]) for k, x in enumerate((suffix, stretch, stretch2, doc, row, lo))]
+                source = was[3]
                 # rows of one id and one text are one occurrence, no repeat of each other
-                same &= (doc != source) | (row != np.concatenate([[prior[3] if prior else -1], row[:-1]])) | (lo != np.concatenate([[prior[4] if prior else -1], lo[:-1]]))
+                same = like_before & (stretch == was[1]) & (stretch2 == was[2]) & ((doc != source) | (row != was[4]) | (lo != was[5]))
                 keep = (like_before | like_next)[:n]
                 # suffixes in a row that share one stretch are whole repeats of their first, whose windows nothing needs then
                 begin = np.nonzero(~like_before)[0]
                 first, last = begin[:-1], begin[1:] - 1
-                first = first[stretch[first] == stretch[last]]
+                first = first[(stretch[first] == stretch[last]) & (stretch2[first] == stretch2[last])]
                 keep[first if prior else first[first > 0]] = False
                 if keep.any():
                     cols = [x[:n][keep] for x in (doc, row, lo, count, _place(doc, row, lo))]
                     yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in cols), pa.array(np.where(same, source, 0)[:n][keep], mask=~same[:n][keep])], names=["doc_id", "row", "lo", "count", "place", "source"])
-                prior = tuple(x[n - 1] for x in (suffix, stretch, doc, row, lo))
+                prior = tuple(x[n - 1] for x in (suffix, stretch, stretch2, doc, row, lo))
             held = None if ended else [x[n:] for x in rows]
 
     return sorted_rows.mapInArrow(run, "doc_id bigint, row bigint, lo int, count int, place bigint, source bigint")
 
 
-def _windows(docs: DataFrame, min_words: int, reach: int, places: np.ndarray) -> DataFrame:
-    """window, doc_id, row, start of all windows of the minimisers whose place ``places`` may hold."""
+def _windows(docs: DataFrame, min_words: int, reach: int, places: Broadcast) -> DataFrame:
+    """window, window2, doc_id, row, start of all windows of the minimisers whose place ``places`` may hold."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = Passages(min_words, reach)
         for batch in slices(it):
-            out: list[list[np.ndarray]] = [[], [], [], []]
+            out: list[list[np.ndarray]] = [[], [], [], [], []]
             for doc, text, row in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 if p.read(text):
-                    keep = maybe(places, _place(np.int64(doc), np.int64(row), p.lo))
+                    keep = maybe(places.value, _place(np.int64(doc), np.int64(row), p.lo))
                     if keep.any():
                         n = p.count[keep]
                         start = np.repeat(p.lo[keep], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                        out[0].append(p.stretch(start, start + min_words))
-                        out[1].append(np.full(len(start), doc, np.int64))
-                        out[2].append(np.full(len(start), row, np.int64))
-                        out[3].append(start.astype(np.int32))
+                        for column, x in zip(out, (p.stretch(start, start + min_words), p.stretch(start, start + min_words, 1), np.full(len(start), doc, np.int64), np.full(len(start), row, np.int64), start.astype(np.int32)), strict=True):
+                            column.append(x)
             if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["window", "doc_id", "row", "start"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["window", "window2", "doc_id", "row", "start"])
 
-    return docs.mapInArrow(run, "window bigint, doc_id bigint, row bigint, start int")
+    return docs.mapInArrow(run, "window bigint, window2 bigint, doc_id bigint, row bigint, start int")
 
 
 def _compare_windows(sorted_rows: DataFrame) -> DataFrame:
     """Of rows sorted by window and place: repeats with the neighbour's doc; and each partition's first and last row, marked."""
-    names = ["kind", "part", "window", "doc_id", "row", "start", "source"]
+    names = ["kind", "part", "window", "window2", "doc_id", "row", "start", "source"]
 
     def rows(kind: int, part: int, *columns: np.ndarray) -> pa.RecordBatch:
         n = len(columns[0])
@@ -224,37 +228,39 @@ def _compare_windows(sorted_rows: DataFrame) -> DataFrame:
         for batch in it:
             if not batch.num_rows:
                 continue
-            window, doc, row, start = (batch.column(i).to_numpy() for i in range(4))
+            columns = [batch.column(i).to_numpy() for i in range(5)]
+            window, window2, doc, row, start = columns
             if last is None:
-                yield rows(0, part, window[:1], doc[:1], row[:1], start[:1], doc[:1])
-                last = (window[0] ^ 1, doc[0], row[0], start[0])
-            before = [np.concatenate([[x], c[:-1]]) for x, c in zip(last, (window, doc, row, start), strict=True)]
-            same = (window == before[0]) & ((doc != before[1]) | (row != before[2]) | (start != before[3]))
+                yield rows(0, part, *(c[:1] for c in columns), doc[:1])
+                last = (window[0] ^ 1, *(c[0] for c in columns[1:]))
+            before = [np.concatenate([[x], c[:-1]]) for x, c in zip(last, columns, strict=True)]
+            same = (window == before[0]) & (window2 == before[1]) & ((doc != before[2]) | (row != before[3]) | (start != before[4]))
             if same.any():
-                yield rows(1, part, window[same], doc[same], row[same], start[same], before[1][same])
-            last = (window[-1], doc[-1], row[-1], start[-1])
+                yield rows(1, part, *(c[same] for c in columns), before[2][same])
+            last = tuple(c[-1] for c in columns)
         if last is not None:
-            yield rows(2, part, *(np.array([x], t) for x, t in zip(last, (np.int64, np.int64, np.int64, np.int32), strict=True)), np.array([last[1]], np.int64))
+            yield rows(2, part, *(np.array([x], t) for x, t in zip(last, (*[np.int64] * 4, np.int32), strict=True)), np.array([last[2]], np.int64))
 
-    return sorted_rows.mapInArrow(run, "kind int, part int, window bigint, doc_id bigint, row bigint, start int, source bigint")
+    return sorted_rows.mapInArrow(run, "kind int, part int, window bigint, window2 bigint, doc_id bigint, row bigint, start int, source bigint")
 
 
 def repeated_spans(df: DataFrame, min_words: int = 50, reach: int = 32, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, row, spans array<struct<a, b>> (word places, disjoint, sorted), source_ids of documents that have repeated passages."""
     docs = keyed_text(df, key, text).where(F.col("doc_id").isNotNull()).withColumn("row", _row(F.col("text")))
     kept = stored(_scan(docs, min_words, reach), "suffixes")
-    order = ["suffix", "stretch", "doc_id", "row", "lo"]
+    order = ["suffix", "stretch", "stretch2", "doc_id", "row", "lo"]
     alike = stored(_compare_suffixes(kept.repartitionByRange(*order).sortWithinPartitions(*order)), "alike")
     discard(kept)
-    places = collect_bitmap(alike.where(F.col("source").isNull()), F.col("place"))
+    places = shared_bitmap(alike.where(F.col("source").isNull()), F.col("place"))
     windows = stored(_windows(docs, min_words, reach, places), "windows")
-    order = ["window", "doc_id", "row", "start"]
+    places.destroy()
+    order = ["window", "window2", "doc_id", "row", "start"]
     compared = stored(_compare_windows(windows.repartitionByRange(*order).sortWithinPartitions(*order)), "compared")
     discard(windows)
     # a partition's first row repeats the last row before it if their windows are equal: two rows a partition meet here
     before = Window.orderBy("part", "kind")
-    ends = compared.where("kind <> 1").withColumns({c: F.lag(x).over(before) for c, x in (("w", "window"), ("d", "doc_id"), ("r", "row"), ("s", "start"))})
-    carried = ends.where("kind = 0 AND window = w AND (doc_id <> d OR row <> r OR start <> s)").select("doc_id", "row", "start", F.col("d").alias("source"))
+    ends = compared.where("kind <> 1").withColumns({c: F.lag(x).over(before) for c, x in (("w", "window"), ("w2", "window2"), ("d", "doc_id"), ("r", "row"), ("s", "start"))})
+    carried = ends.where("kind = 0 AND window = w AND window2 = w2 AND (doc_id <> d OR row <> r OR start <> s)").select("doc_id", "row", "start", F.col("d").alias("source"))
     single = compared.where("kind = 1").select("doc_id", "row", "start", "source").union(carried)
     whole = alike.where(F.col("source").isNotNull()).select("doc_id", "row", F.col("lo").alias("a"), (F.col("lo") + F.col("count") - 1 + min_words).alias("b"), "source")
     found = single.select("doc_id", "row", F.col("start").alias("a"), (F.col("start") + min_words).alias("b"), "source").union(whole)
