@@ -23,7 +23,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from barloom.llm.common import batches, keyed_text, returned, slices
 from barloom.llm.samples import HELD_OUT, labelled

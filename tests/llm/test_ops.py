@@ -385,7 +385,7 @@ def test_plan_against_the_fewest_sequences():
     # exact complements of one, two and three lengths
     for parts in ((20,), (13, 7), (9, 8, 3), (9, 5, 4, 2)):
         assert sorted(n for lengths, _ in packing.plan(Counter(parts), 20) for n in lengths) == sorted(parts)
-        assert [times for _, times in packing.plan(Counter({n: 1000 for n in parts}), 20)] == [1000]
+        assert sum(times for _, times in packing.plan(Counter({n: 1000 for n in parts}), 20)) == 1000  # no sequence has room left
 
 
 def test_plan_uses_all_counts():
@@ -470,8 +470,7 @@ def test_pipeline_stages_odd(spark, none):
     stages = dict(corpus_pipeline.STAGES)
     near = stages["ngram_jaccard_join"](spark, docs, SF)
     assert near.columns == docs.columns
-    assert sorted((r["doc_id"] or 0, r["text"]) for r in near.collect() if r["text"] != long) == sorted(((d or 0, t) for d, t in rows if t != long), key=lambda r: (r[0], r[1] or "")) or near.count() == 7
-    assert {r["doc_id"] for r in near.collect() if r["text"] == long} == {4}
+    assert Counter((r["doc_id"], r["text"]) for r in near.collect()) == Counter(r for r in rows if r[0] != 5)
     cut = stages["suffix_array_dedup"](spark, docs, SF)
     assert cut.columns == docs.columns and cut.count() == len(rows)
     assert sorted((r["doc_id"], len(r["text"].split())) for r in cut.collect() if r["doc_id"] in (4, 5)) == [(4, 3000), (5, 0), (5, 0)]
