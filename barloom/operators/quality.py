@@ -1,7 +1,8 @@
 """Validation, cleaning and the census of daily bars.
 
-Missing is null, and a rule on a missing value never fires. All per-ticker work
-of one pass shares a single shuffle by ticker.
+Missing is null, and a rule on a missing value never fires. Arrivals are grouped
+by ticker and date, so a ticker with many arrivals of its dates spreads over
+tasks; only rows that hold a date once are ever ordered within a ticker.
 """
 
 from __future__ import annotations
@@ -78,13 +79,14 @@ def duplicate_dates(raw: DataFrame) -> DataFrame:
 
 
 def unsorted_tickers(raw: DataFrame) -> DataFrame:
-    """ticker, n = 1 where arrival order (``seq``) has a date before the row before."""
-    w = Window.partitionBy("ticker").orderBy("seq", "date")
-    return raw.select("ticker", F.when(F.col("date") < F.lag("date").over(w), 1).otherwise(0).alias("x")).groupBy("ticker").agg(F.max("x").alias("n")).where("n > 0")
+    """ticker, n = 1 where a date arrives (by ``seq``) before an earlier date is through: one row a date is compared."""
+    days = raw.groupBy("ticker", "date").agg(F.min("seq").alias("begin"), F.max("seq").alias("end"))
+    past = F.max("end").over(by_date().rowsBetween(Window.unboundedPreceding, -1))
+    return days.select("ticker", (past > F.col("begin")).alias("late")).where("late").groupBy("ticker").agg(F.max(F.lit(1)).alias("n"))
 
 
 def keep_last(raw: DataFrame) -> DataFrame:
-    """The last arrival of each (ticker, date); deal rows by ticker before for later per-ticker work."""
+    """The last arrival of each (ticker, date)."""
     last = Window.partitionBy("ticker", "date").orderBy(F.desc("seq"))
     return raw.withColumn("__rn", F.row_number().over(last)).where("__rn = 1").drop("__rn")
 
@@ -104,24 +106,25 @@ def valid(columns: list[str]) -> Column:
 
 def sanitize(raw: DataFrame) -> DataFrame:
     """Last arrival a date, and only then the validity rules, so a bad last arrival removes its date; infinities left become null."""
-    rows = keep_last(raw.repartition("ticker")).where(valid(raw.columns))
+    rows = keep_last(raw).where(valid(raw.columns))
     return rows.withColumns({c: F.when(F.abs(c) == float("inf"), None).otherwise(F.col(c)) for c in ("open", "high", "low", "adj_close") if c in raw.columns}).drop("seq")
 
 
 def drop_counts(raw: DataFrame) -> DataFrame:
     """ticker, n_input, n_output, n_dropped of cleaning."""
-    flagged = raw.repartition("ticker").withColumn("__last", F.row_number().over(Window.partitionBy("ticker", "date").orderBy(F.desc("seq"))) == 1)
+    flagged = raw.withColumn("__last", F.row_number().over(Window.partitionBy("ticker", "date").orderBy(F.desc("seq"))) == 1)
     out = flagged.groupBy("ticker").agg(F.count("*").alias("n_input"), F.count_if(F.col("__last") & valid(raw.columns)).alias("n_output"))
     return out.withColumn("n_dropped", F.col("n_input") - F.col("n_output"))
 
 
-def flag_counts(bars: DataFrame, min_gap: int = 30) -> DataFrame:
-    """One row a ticker with every per-row check counted: one shuffle, one sort."""
-    rows = bars.select("*", limit_break(F.col("board")).alias("__limit"), gap_days().alias("__gap"))
+def flag_counts(bars: DataFrame, min_gap: int = 30, moves: bool = True) -> DataFrame:
+    """One row a ticker with every per-row check counted: one shuffle, one sort; without ``moves``, which compare days, no sort."""
+    rows = bars.select("*", limit_break(F.col("board")).alias("__limit"), gap_days().alias("__gap")) if moves else bars
     counts = [F.count_if(F.col(c).isNull()).alias(f"nan_{c}") for c in PRICES]
     counts += [F.count_if(F.col(c) <= 0).alias(f"non_positive_{c}") for c in PRICES]
     counts += [F.count_if(F.col("volume") < 0).alias("negative_volume"), F.count_if(F.col("volume") == 0).alias("zero_volume"), F.count_if(ohlc_violation()).alias("ohlc_violations")]
-    counts += [F.count_if("__limit").alias("price_limit_exceeded"), F.count_if(limit_locked()).alias("limit_locked_days"), F.count_if(F.col("__gap") >= min_gap).alias("long_gaps")]
+    counts += [F.count_if(limit_locked()).alias("limit_locked_days")]
+    counts += [F.count_if("__limit").alias("price_limit_exceeded"), F.count_if(F.col("__gap") >= min_gap).alias("long_gaps")] if moves else []
     return rows.groupBy("ticker").agg(F.count("*").alias("n_input"), *counts)
 
 
@@ -136,10 +139,10 @@ def quality_report(bars: DataFrame) -> DataFrame:
     return long_form(flag_counts(bars))
 
 
-def validate(raw: DataFrame) -> DataFrame:
-    """All checks of rows as they arrived, order and duplicates included."""
+def validate(raw: DataFrame, moves: bool = True) -> DataFrame:
+    """All checks of rows as they arrived, order and duplicates included; ``moves``: see ``flag_counts``. Errors need none."""
     extra = [rows.select("ticker", F.lit("error").alias("severity"), F.lit(c).alias("check"), F.col("n").cast("bigint").alias("n")) for c, rows in (("duplicate_dates", duplicate_dates(raw)), ("unsorted_dates", unsorted_tickers(raw)))]
-    return quality_report(raw.drop("seq")).unionByName(extra[0]).unionByName(extra[1])
+    return long_form(flag_counts(raw, moves=moves)).unionByName(extra[0]).unionByName(extra[1])
 
 
 def examples(bars: DataFrame, k: int = 5) -> DataFrame:
@@ -161,7 +164,7 @@ def examples(bars: DataFrame, k: int = 5) -> DataFrame:
 
 def report_rows(raw: DataFrame) -> DataFrame:
     """ticker, n_input, n_output, n_dropped, errors (before cleaning), warnings (after), ok, summary; checks that count nothing are not listed."""
-    pre = validate(raw).where("severity = 'error'")
+    pre = validate(raw, moves=False).where("severity = 'error'")
     post = quality_report(sanitize(raw))
     return reports(drop_counts(raw), pre, post)
 
@@ -207,7 +210,7 @@ def census(raw: DataFrame) -> DataFrame:
 
 def check_totals(raw: DataFrame) -> DataFrame:
     """severity, check, n over all tickers: errors before cleaning and warnings after."""
-    rows = validate(raw).where("severity = 'error'").unionByName(quality_report(sanitize(raw)).where("severity = 'warning'"))
+    rows = validate(raw, moves=False).where("severity = 'error'").unionByName(quality_report(sanitize(raw)).where("severity = 'warning'"))
     return rows.groupBy("severity", "check").agg(F.sum("n").alias("n"))
 
 
