@@ -5,8 +5,10 @@ The encoder keeps an agenda of adjacent symbol pairs ordered by piece score
 the merge made. Pieces never hold a word mark after another character, so a
 text falls into units at those marks (and at line ends and closing marks that no
 piece joins to a letter), and each distinct unit is merged once a worker and then
-looked up. Every Arrow batch is also encoded by the
-sentencepiece library and compared; ``agrees`` holds the comparison.
+looked up, as long as it is short and a bound on bytes allows. Every Arrow batch is
+also encoded by the sentencepiece library and compared; ``agrees`` holds the
+comparison, and where they differ the library's ids count. Models that change
+texts before they cut them are refused.
 
 Null text is empty and gives no ids. Rows are kept one for one, repeats
 included; other columns of the input are ignored.
@@ -28,18 +30,22 @@ from pyspark.sql import DataFrame
 from barloom.llm.common import keyed_text, slices
 
 MARK = "▁"
-SHORT = 40
+SHORT = 40  # longer units are merged from a heap, shorter ones from a list; results are equal
+LONGEST = 64  # characters of a unit that is remembered
+SAMPLE = "a \uff21 e\u0301 \ufb01  x\t \u00bd"  # what most normalisers would change
 ENDERS = ",.;:!?"
 
 
 class MergeEncoder:
     """Encodes and decodes like the library's merge model with byte fallback and identity normalisation."""
 
-    def __init__(self, model: str, memory: int = 1_500_000) -> None:
+    def __init__(self, model: str, memory: int = 400 << 20) -> None:
         self.library = lib = sentencepiece.SentencePieceProcessor(model_file=model)
         n = lib.get_piece_size()
         names = lib.id_to_piece(list(range(n)))
         plain = [i for i in range(n) if not (lib.is_byte(i) or lib.is_control(i) or lib.is_unknown(i) or lib.is_unused(i))]
+        if lib.normalize(SAMPLE) != MARK + SAMPLE.replace(" ", MARK):
+            raise ValueError("the model changes texts before it cuts them")
         if any(MARK in names[i].lstrip(MARK) for i in plain):
             raise ValueError("a piece holds a word mark inside; units cannot be cut at marks")
         self.ids = {names[i]: i for i in plain}
@@ -53,7 +59,7 @@ class MergeEncoder:
         self.lines = not any("\n" in p for p in self.rank)
         self.units: dict[str, tuple[int, ...]] = {}
         self.inner: dict[str, tuple[int, ...]] = {}
-        self.memory = memory
+        self.memory, self.held = memory, 0  # bytes of remembered units
 
     def merge(self, unit: str) -> tuple[int, ...]:
         """Ids of one unit that starts with its word marks."""
@@ -119,28 +125,34 @@ class MergeEncoder:
                 ids = self.learn(word[:-1]) + self.learn_inner(word[-1])
             else:
                 ids = self.merge(MARK + word)
-            self.units[word] = ids
+            self._keep(self.units, word, ids)
         return ids
 
+    def _keep(self, known: dict[str, tuple[int, ...]], part: str, ids: tuple[int, ...]) -> None:
+        if len(part) > LONGEST:
+            return
+        self.held += 200 + len(part) + 8 * len(ids)
+        if self.held > self.memory:
+            self.units.clear()
+            self.inner.clear()
+            self.held = 0
+        known[part] = ids
+
     def learn_inner(self, part: str) -> tuple[int, ...]:
         """Ids of a part without a mark before it."""
         if (ids := self.inner.get(part)) is None:
-            if len(self.inner) > self.memory // 4:
-                self.inner.clear()
             if len(part) > 1 and part[-1] in self.enders and part[-2].isalpha():
                 ids = self.learn_inner(part[:-1]) + self.learn_inner(part[-1])
             else:
                 ids = self.merge(part)
-            self.inner[part] = ids
+            self._keep(self.inner, part, ids)
         return ids
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text, without begin and end ids."""
         if not text:
             return []
-        known, get = self.units, self.units.get
-        if len(known) > self.memory:
-            known.clear()
+        get = self.units.get
         if text[0] == " " or "  " in text or MARK in text:
             marked = MARK + text.replace(" ", MARK)
             words = [u[1:] for u in re.findall(f"{MARK}+[^{MARK}]*|[^{MARK}]+", marked)]
@@ -209,7 +221,9 @@ def _encoded(enc: MergeEncoder, it: Iterator[pa.RecordBatch]) -> Iterator[tuple[
             texts = batch.column(1).to_pylist()
             ids = [enc.encode(x) for x in texts]
             checked = enc.library.encode(texts, num_threads=1)
-            yield batch.column(0), ids, [enc.decode(x) for x in ids], [a == b for a, b in zip(ids, checked)]
+            agrees = [a == b for a, b in zip(ids, checked)]
+            ids = [a if same else b for a, b, same in zip(ids, checked, agrees)]
+            yield batch.column(0), ids, [enc.decode(x) for x in ids], agrees
     finally:
         if collecting:
             gc.enable()

@@ -118,6 +118,21 @@ def test_pieces(docs, odd, none):
     assert pieces.encode_digests(none, model).isEmpty()
 
 
+def test_pieces_in_little_memory(docs):
+    enc = pieces.MergeEncoder(public_tokenizers.path(queries.PIECE_MODEL), memory=20_000)
+    for text in [t for _, t in texts(docs)][:60]:
+        assert enc.encode(text) == enc.library.encode(text)
+        assert enc.held <= 20_000
+    assert all(len(u) <= pieces.LONGEST for u in (*enc.units, *enc.inner))
+    enc.rank = {}  # a broken encoder: the library's ids count, and the column says so
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["unbelievable words"])], names=["doc_id", "text"])
+    enc.units.clear()
+    (_, ids, decoded, agrees), = pieces._encoded(enc, iter([batch]))
+    assert ids == [enc.library.encode("unbelievable words")] and decoded == ["unbelievable words"] and agrees == [False]
+
+
 def test_html_layout(spark):
     page = "<title>t</title><p>one<p>two <b>bold</b><script>var a='</p>'</script><ul><li>a<li>b<ol start=3><li>c</ol></ul><table><tr><th>k<th>value<tr><td>long key<td>v</table><p hidden>no<pre>x\n  y</pre><div style='display : none'>no</div>&copy;"
     assert html.render(page) == "one\n\ntwo bold\n\n- a\n- b\n  3. c\n\nk         value\nlong key  v\n\nx\n  y\n\n©"
