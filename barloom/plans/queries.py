@@ -992,3 +992,37 @@ def incremental_update(spark, sf_dir):
     rows = clean(spark, sf_dir)
     incoming = _overlay(rows).withColumns({"high": F.col("high") * 2, "board": F.lit("main"), "seq": F.lit(1).cast("bigint")})
     return flows.update(incoming, _stored(spark, rows, "update"), Horizon(dt.date(1995, 1, 1)))
+
+
+@query("SELECT * FROM (VALUES ('first', true), ('again', false)) AS t(attempt, made)")
+def store_create(spark, sf_dir):
+    """Making a store is idempotent: the second attempt finds the first."""
+    held = Store(spark, scratch(spark, "create"))
+    return spark.createDataFrame([("first", held.create()), ("again", held.create())], "attempt string, made boolean")
+
+
+@query("SELECT * FROM (VALUES (1, 'a', true), (2, 'b', false), (3, 'a', true), (4, 'b', true)) AS t(step, owner, held)")
+def writer_lock(spark, sf_dir):
+    """One writer at a time: b waits until a has released the store."""
+    store_ = Store(spark, scratch(spark, "lock"))
+    steps = [(1, "a", store_.hold("a")), (2, "b", store_.hold("b")), (3, "a", store_.hold("a"))]
+    store_.release("b")
+    store_.release("a")
+    return spark.createDataFrame([*steps, (4, "b", store_.hold("b"))], "step int, owner string, held boolean")
+
+
+@query(f"{ctes('clean_bars', 'overlay')} SELECT {COLS} FROM clean_bars WHERE CAST(ticker AS INT) % 4 = 0")
+def store_conflict(spark, sf_dir):
+    """A writer that read the log before another one wrote is refused, and the store shows the other's rows alone."""
+    rows = clean(spark, sf_dir).drop("board").where(F.col("ticker").cast("int") % 4 == 0)
+    held = Store(spark, scratch(spark, "conflict"))
+    held.create()
+    late = Store(spark, held.path)
+    seen = late.entry()
+    held.replace(rows)
+    late.entry = lambda: seen
+    try:
+        late.replace(rows.withColumn("close", F.lit(1.0)))
+    except store.Conflict:
+        return held.bars().drop("year")
+    raise AssertionError("two writers made one entry")
