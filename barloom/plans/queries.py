@@ -871,7 +871,7 @@ def _no_wait(seconds: float) -> None:
 
 def _fetched(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     wanted = series.tickers(clean(spark, sf_dir))
-    return wanted, vendor.fetch_many(wanted, _Vendor(), FROM, TO, Retry(per_minute=8_000_000), tasks=4, sleep=_no_wait)
+    return wanted, vendor.fetch_many(wanted, _Vendor(), FROM, TO, Retry(per_minute=800_000), tasks=4, sleep=_no_wait)
 
 
 VENDOR = "v AS (SELECT DISTINCT ticker, CAST(ticker AS INT) AS n FROM clean_bars)"
@@ -907,7 +907,7 @@ def _prober(code: str) -> bool:
 def probe_many(spark, sf_dir):
     """All candidate codes but the screened ones, probed with retries."""
     codes, skip = universe.candidate_codes(spark), view(spark, sf_dir, "listings").where("in_screener")
-    answers = vendor.probe_many(codes, _prober, skip, Retry(per_minute=8_000_000), tasks=4, sleep=_no_wait)
+    answers = vendor.probe_many(codes, _prober, skip, Retry(per_minute=800_000), tasks=4, sleep=_no_wait)
     return universe.probe_outcomes(codes, answers, skip)
 
 

@@ -9,10 +9,11 @@ time, so one bad ticker never fails a scan.
 from __future__ import annotations
 
 import datetime as dt
+import itertools
+import math
 import random
 import threading
 import time
-from collections import deque
 from collections.abc import Callable, Iterable, Iterator
 from typing import Protocol
 
@@ -26,7 +27,7 @@ from barloom.schemas import FIELDS
 
 LONGEST_ERROR = 500
 FETCHED = "ticker string, date date, " + ", ".join(f"{f} double" for f in FIELDS) + ", error string"
-RATE_MARKERS = ("429", "too many requests", "rate limit")  # fixed values
+RATE_MARKERS = ("429", "too many requests", "rate limit", "temporarily unavailable")  # fixed values
 
 
 class Connector(Protocol):
@@ -34,25 +35,22 @@ class Connector(Protocol):
 
 
 class Pace:
-    """At most ``per_minute`` calls in any 60 seconds, whatever threads call; ``clock`` and ``sleep`` can be replaced in tests."""
+    """At most ``per_minute`` calls in any 60 seconds, whatever threads call: each call books the time at which the one ``per_minute`` before it is a minute past."""
 
     def __init__(self, per_minute: int, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep) -> None:
-        self.per_minute, self.clock, self.sleep = per_minute, clock, sleep
-        self.past: deque[float] = deque()
+        self.clock, self.sleep = clock, sleep
+        self.booked = [-math.inf] * max(1, per_minute)
+        self.turns = itertools.count()
         self.lock = threading.Lock()
 
-    def take(self) -> None:
-        """Returns when a call may be made, and counts it."""
-        while True:
-            with self.lock:
-                now = self.clock()
-                while self.past and now - self.past[0] >= 60:
-                    self.past.popleft()
-                if len(self.past) < self.per_minute:
-                    self.past.append(now)
-                    return
-                rest = 60 - (now - self.past[0])
+    def take(self) -> float:
+        """Returns when a call may be made: the time that it booked."""
+        with self.lock:
+            turn = next(self.turns) % len(self.booked)
+            at = self.booked[turn] = max(self.clock(), self.booked[turn] + 60)
+        if (rest := at - self.clock()) > 0:
             self.sleep(rest)
+        return at
 
 
 def backoff_bounds(attempt: Column, limited: Column, retry: Retry = Retry()) -> tuple[Column, Column]:

@@ -232,19 +232,14 @@ def test_probes_have_three_outcomes(spark):
 def test_pace_holds_over_threads():
     import threading
 
-    now, slept = [0.0], []
-
-    def sleep(seconds):
-        slept.append(seconds)
-        now[0] += seconds
-
-    pace = vendor.Pace(5, clock=lambda: now[0], sleep=sleep)
-    threads = [threading.Thread(target=lambda: [pace.take() for _ in range(4)]) for _ in range(3)]
+    slept, made = [], []
+    pace = vendor.Pace(5, clock=lambda: 7.0, sleep=slept.append)  # a clock that stands still
+    threads = [threading.Thread(target=lambda: made.extend(pace.take() for _ in range(4))) for _ in range(3)]
     for t in threads:
         t.start()
     for t in threads:
         t.join()
-    assert len(pace.past) <= 5 and now[0] >= 120 and all(0 < s <= 60 for s in slept)
+    assert sorted(made) == [7.0] * 5 + [67.0] * 5 + [127.0] * 2 and sorted(slept) == [60.0] * 5 + [120.0] * 2
 
 
 def test_settings_from_the_environment():
