@@ -831,9 +831,9 @@ def sessions_between(spark, sf_dir):
     return calendar.sessions_between(found, first + dt.timedelta(days=3), first + dt.timedelta(days=20)) if first else found
 
 
-@query(f"{ctes('clean_bars')} SELECT ticker, date, CAST(date AS TIMESTAMP) AS at FROM clean_bars WHERE ticker = '1'")
+@query(f"{ctes('clean_bars')} SELECT ticker, date, strftime(CAST(date AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS at FROM clean_bars WHERE ticker = '1'")
 def day_timestamps(spark, sf_dir):
-    return clean(spark, sf_dir).where("ticker = '1'").select("ticker", "date", codec.midnight(F.col("date")).alias("at"))
+    return clean(spark, sf_dir).where("ticker = '1'").select("ticker", "date", F.date_format(codec.midnight(F.col("date")), "yyyy-MM-dd HH:mm:ss").alias("at"))
 
 
 @query("SELECT CAST(NULL AS VARCHAR) AS ticker, CAST(NULL AS DATE) AS date, " + ", ".join(f"CAST(NULL AS DOUBLE) AS {c}" for c in FIELDS) + " WHERE false")
@@ -877,7 +877,7 @@ def _fetched(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 VENDOR = "v AS (SELECT DISTINCT ticker, CAST(ticker AS INT) AS n FROM clean_bars)"
 
 
-@query(f"{ctes('clean_bars')}, {VENDOR} SELECT ticker, date, 1.5 * n AS close, CAST(NULL AS VARCHAR) AS error FROM (SELECT ticker, n, CAST(unnest(generate_series(DATE '{FROM}', DATE '{FROM}' + CAST(n % 11 * 2 - 1 AS INTEGER), INTERVAL 1 DAY)) AS DATE) AS date FROM v WHERE n % 11 > 0 AND n % 7 > 0) UNION ALL SELECT ticker, NULL, NULL, 'HTTP 429: too many requests' FROM v WHERE n % 7 = 0")
+@query(f"{ctes('clean_bars')}, {VENDOR} SELECT ticker, date, CAST(1.5 AS DOUBLE) * n AS close, CAST(NULL AS VARCHAR) AS error FROM (SELECT ticker, n, CAST(unnest(generate_series(DATE '{FROM}', DATE '{FROM}' + CAST(n % 11 * 2 - 1 AS INTEGER), INTERVAL 1 DAY)) AS DATE) AS date FROM v WHERE n % 11 > 0 AND n % 7 > 0) UNION ALL SELECT ticker, NULL, NULL, 'HTTP 429: too many requests' FROM v WHERE n % 7 = 0")
 def fetch_bars(spark, sf_dir):
     return _fetched(spark, sf_dir)[1].select("ticker", "date", "close", "error")
 
@@ -963,7 +963,7 @@ def status_record(spark, sf_dir):
     return status.record(facts, F.lit(dt.date(2001, 11, 5)))
 
 
-@query("SELECT p_partkey, p_size * 10000000 AS used_bytes, p_size * 9000000 AS data_bytes, p_size * 10000000 / CAST(536870912 AS DOUBLE) AS used_fraction, p_size * 10000000 >= 483183820 AS over_threshold, CASE WHEN p_size = 0 THEN 0 ELSE CAST(0.9 AS DOUBLE) END AS compression_ratio FROM part")
+@query("SELECT p_partkey, CAST(p_size AS BIGINT) * 10000000 AS used_bytes, CAST(p_size AS BIGINT) * 9000000 AS data_bytes, p_size * 10000000 / CAST(536870912 AS DOUBLE) AS used_fraction, p_size * 10000000 >= 483183820 AS over_threshold, CASE WHEN p_size = 0 THEN 0 ELSE CAST(0.9 AS DOUBLE) END AS compression_ratio FROM part")
 def storage_facts(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", (F.col("p_size").cast("bigint") * 10_000_000).alias("used_bytes"), (F.col("p_size").cast("bigint") * 9_000_000).alias("data_bytes"), F.col("p_partkey").alias("objects"))
     return store.storage_facts(rows).withColumnRenamed("objects", "p_partkey")
