@@ -1,11 +1,14 @@
 """Exact top-k inner products by a dual-tree cover-tree search.
 
-Candidates are dealt into blocks of a few thousand by a hash of their id, and
-queries into blocks of their own; each pair of blocks is one task's group. In a
-group both sides are indexed by cover trees, and the search descends pairs of
-nodes: for centres q, p, covering radii a, b no product below the pair exceeds
-``q.p + a|p| + b|q| + ab``, and a pair falls when that is under the worst k-th
-score of the query group. Equal bounds are kept, for ties go to smaller ids.
+The top of the tree is common to all tasks: every vector belongs to the nearest
+of at most ``cells`` centres, a sample by hash of the ids, and a cell has a covering
+radius. Queries and candidates are dealt by cell, large cells in blocks of a few
+thousand. First each query block is searched in one block of its own cell, which
+gives every query a worst k-th score, a floor. Then a query block meets
+the blocks of those cells alone whose bound reaches its least floor: for centres
+q, p and radii a, b no product exceeds ``q.p + a|p| + b|q| + ab``. In a pair of blocks
+both sides are indexed by cover trees, and the search descends pairs of nodes
+with the same bound and the floors. Equal bounds are kept, for ties go to smaller ids.
 The k best of each block pair are merged by a ranking window, whose input has at
 most k rows a query and block.
 
@@ -21,12 +24,16 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.llm.common import slices, stored
+
 LEAF = 48
 SHRINK = 0.7
 FEW = 16
@@ -97,11 +104,11 @@ class CoverTree:
 class _Best:
     """The k best (score, smaller id) of each query so far, unordered; ``floor`` is the k-th score."""
 
-    def __init__(self, n: int, k: int) -> None:
-        self.k = k
+    def __init__(self, n: int, k: int, least: np.ndarray) -> None:
+        self.k, self.least = k, least  # what a score must reach, known beforehand
         self.score = np.full((n, k), -np.inf)
         self.id = np.full((n, k), np.iinfo(np.int64).max)
-        self.floor = np.full(n, -np.inf)
+        self.floor = least.copy()
 
     def offer(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
         live = (scores >= self.floor[rows, None]).any(1)
@@ -122,12 +129,12 @@ class _Best:
         at = np.nonzero(keep)
         self.score[rows] = s[at].reshape(-1, k)
         self.id[rows] = i[at].reshape(-1, k)
-        self.floor[rows] = floor
+        self.floor[rows] = np.maximum(floor, self.least[rows])
 
 
-def search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Scores and ids (k columns, -inf where there are fewer) of each query row."""
-    best = _Best(len(queries), k)
+def search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, floors: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Scores and ids (k columns, -inf where there are fewer) of each query row; scores under a query's floor may be missing."""
+    best = _Best(len(queries), k, np.full(len(queries), -np.inf) if floors is None else floors)
     if not len(queries) or not len(ids):
         return best.score, best.id
     qt, rt = CoverTree(queries), CoverTree(vectors)
@@ -198,24 +205,84 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return flat.reshape(len(column), dim)
 
 
-def top_k(df: DataFrame, k: int = 20, scale: float = 64.0, every: int = 20, key: str = "vec_id", vector: str = "embedding", block: int = 4096) -> DataFrame:
-    """query_id, rank, vec_id, score: each query's k highest integer products. Queries are ids divisible by ``every``."""
+TAME = 2.0**22  # larger components take no part in cells: their products are not exact in doubles
+
+
+@dataclass(frozen=True)
+class _Cells:
+    """Centres by vector length; a cell's number is its centre's place in all of them, -1 is the cell of all other vectors."""
+
+    centres: dict[int, np.ndarray]
+    first: dict[int, int]
+
+    def place(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cells of vectors of one length, and how far each is from its centre."""
+        cell, far = np.full(len(x), -1, np.int32), np.full(len(x), np.inf)
+        c = self.centres.get(x.shape[1])
+        tame = np.nonzero((np.abs(x) < TAME).all(1))[0]
+        if c is not None and len(tame):
+            y = x[tame]
+            near = np.argmin((c**2).sum(1)[None, :] - 2 * (y @ c.T), 1)
+            cell[tame] = near + self.first[x.shape[1]]
+            far[tame] = np.sqrt(((y - c[near]) ** 2).sum(1))
+        return cell, far
+
+    def reaching(self, dim: int, cell: int, radius: float, floor: float, others: dict[int, float]) -> list[int]:
+        """Those of the other cells, with their radii, whose bound with this cell reaches the floor."""
+        if cell < 0:
+            return list(others)
+        c, first = self.centres[dim], self.first[dim]
+        known = np.array([o for o in others if o >= 0], np.int64)
+        p, b = c[known - first], np.array([others[o] for o in known.tolist()])
+        up = p @ c[cell - first] + radius * np.sqrt((p**2).sum(1)) + b * np.sqrt((c[cell - first] ** 2).sum()) + radius * b
+        return known[up + np.abs(up) * 1e-9 + 1e-6 >= floor].tolist() + [o for o in others if o < 0]
+
+
+def top_k(df: DataFrame, k: int = 20, scale: float = 64.0, every: int = 20, key: str = "vec_id", vector: str = "embedding", block: int = 4096, cells: int = 512) -> DataFrame:
+    """query_id, rank, vec_id, score: each query's k highest integer products. Queries are ids divisible by ``every``.
+
+    The driver gets at most ``cells`` vectors, and one row a cell and vector length.
+    """
+    spark = df.sparkSession
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = df.select(F.col(key).cast("bigint").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).where(~bad)
     # beyond 2**53 a double is whole already, and a bigint would not hold all of them
     whole = F.transform("v", lambda x: F.when(F.abs(x * F.lit(float(scale))) < 2.0**53, F.floor(x * F.lit(float(scale))).cast("double")).otherwise(x * F.lit(float(scale))))
     rows = rows.select("vec_id", F.size("v").alias("dim"), whole.alias("v"))
+    n_queries = rows.where(F.col("vec_id") % every == 0).count()
+    wanted = max(1, min(cells, math.ceil(n_queries / block)))  # no more cells than blocks of queries: each is met by every candidate that it can reach
+    picked = rows.where(F.forall("v", lambda x: F.abs(x) < TAME) & (F.col("dim") > 0)).orderBy(F.xxhash64("vec_id"), "vec_id").limit(wanted).select("v").collect()
+    by_dim: dict[int, list] = {}
+    for r in picked:
+        by_dim.setdefault(len(r["v"]), []).append(r["v"])
+    sizes = {d: len(c) for d, c in sorted(by_dim.items())}
+    top = _Cells({d: np.unique(np.array(by_dim[d]), axis=0) for d in sizes}, dict(zip(sizes, [0, *np.cumsum(list(sizes.values()))[:-1].tolist()])))
+
+    def deal(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = 977 * TaskContext.get().partitionId()
+        for batch in slices(it, 2000):
+            dims, lists = batch.column(1).to_numpy(), batch.column(2)
+            cell, far = np.full(len(dims), -1, np.int32), np.full(len(dims), np.inf)
+            for d in np.unique(dims):
+                at = np.nonzero(dims == d)[0]
+                cell[at], far[at] = top.place(_matrix(lists.take(pa.array(at)), int(d)))
+            # rows are dealt in turns: rows of one id, however many, fill several blocks
+            turn = np.arange(seen, seen + len(dims))
+            seen += len(dims)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(far), pa.array(turn)], names=["vec_id", "dim", "v", "cell", "far", "turn"])
+
+    placed = stored(rows.mapInArrow(deal, "vec_id bigint, dim int, v array<double>, cell int, far double, turn bigint"), "vectors")
     is_query = F.col("vec_id") % every == 0
-    n, n_queries = rows.select(F.count("*"), F.count_if(is_query)).first()
-    r_blocks, q_blocks = max(1, math.ceil(n / block)), max(1, math.ceil(n_queries / block))
-
-    def dealt(side: DataFrame, own: int, other: int, mine: str, theirs: str) -> DataFrame:
-        at = F.pmod(F.xxhash64("vec_id"), F.lit(own)).cast("int")
-        return side.withColumn(mine, at).withColumn(theirs, F.explode(F.sequence(F.lit(0), F.lit(other - 1))))
-
-    left = dealt(rows.where(is_query), q_blocks, r_blocks, "qb", "rb")
-    right = dealt(rows, r_blocks, q_blocks, "rb", "qb")
+    tally = placed.groupBy("dim", "cell").agg(F.count("*").alias("n"), F.max("far").alias("far"), F.max(F.when(is_query, F.col("far"))).alias("query_far")).collect()
+    others: dict[int, dict[int, float]] = {}
+    for r in tally:
+        others.setdefault(r["dim"], {})[r["cell"]] = r["far"]
+    radius = {(r["dim"], r["cell"]): r["query_far"] for r in tally}
+    blocks = {(r["dim"], r["cell"]): math.ceil(r["n"] / block) for r in tally}
+    counted = spark.createDataFrame([(*at, n) for at, n in blocks.items()], "dim int, cell int, blocks int")
+    dealt = placed.join(F.broadcast(counted), ["dim", "cell"]).select("vec_id", "dim", "cell", "v", F.pmod("turn", F.col("blocks")).cast("int").alias("part"))
+    queries = dealt.where(is_query).select(*(F.col(c).alias(c) for c in dealt.columns), F.lit(float("-inf")).alias("floor"))
 
     def pair(a: pa.Table, b: pa.Table) -> pa.Table:
         names = ["query_id", "vec_id", "score"]
@@ -226,21 +293,42 @@ def top_k(df: DataFrame, k: int = 20, scale: float = 64.0, every: int = 20, key:
         q, r = (_matrix(t["v"].combine_chunks(), dim) for t in (a, b))
         most = float(np.abs(q).max(initial=0)) * float(np.abs(r).max(initial=0)) * max(1, dim)
         if most < 2.0**52:
-            s, i = search(qid, q, rid, r, k)
+            s, i = search(qid, q, rid, r, k, a["floor"].to_numpy())
             at = np.nonzero(~np.isneginf(s))
             return pa.table([pa.array(qid[at[0]]), pa.array(i[at]), pa.array(s[at].astype(np.int64))], names=names)
         out: list[tuple[int, int, int]] = []  # beyond exact doubles: Python's integers
         exact = [[_integer(c) for c in y] for y in r]
         for x, own in zip(q, qid):
             ints = [_integer(c) for c in x]
-            every = heapq.nsmallest(k, ((-_bounded(sum(a * b for a, b in zip(ints, y))), int(j)) for y, j in zip(exact, rid) if j != own))
-            out += [(int(own), j, -s) for s, j in every]
+            best = heapq.nsmallest(k, ((-_bounded(sum(a * b for a, b in zip(ints, y))), int(j)) for y, j in zip(exact, rid) if j != own))
+            out += [(int(own), j, -s) for s, j in best]
         return pa.table([pa.array(c, pa.int64()) for c in (zip(*out) if out else ([], [], []))], names=names)
 
-    keys = ["dim", "qb", "rb"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(pair, "query_id bigint, vec_id bigint, score bigint")
+    found = "query_id bigint, vec_id bigint, score bigint"
+    home = ["dim", "cell", "part"]
+    tame = F.col("cell") >= 0
+    first = queries.where(tame).groupBy(*home).cogroup(dealt.where(tame).groupBy(*home)).applyInArrow(pair, found)
+    # a query's worst score of k in its own block; repeated ids count once, with the least
+    floors = first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").cast("double").alias("floor")).where(F.col("n") == k)
+    floors = stored(floors.select(F.col("query_id").alias("vec_id"), "floor"), "floors")
+    queries = queries.drop("floor").join(floors, "vec_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+    groups = queries.groupBy(*home).agg(F.min("floor").alias("floor"))
+
+    def meet(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            out: list[tuple[int, int, int, int, int]] = []
+            for dim, cell, part, floor in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                for other in top.reaching(dim, cell, radius[dim, cell], floor, others[dim]):
+                    out += [(dim, cell, part, other, n) for n in range(blocks[dim, other])]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32()) for c in (zip(*out) if out else [[]] * 5)], names=["dim", "cell", "part", "other", "piece"])
+
+    met = stored(groups.mapInArrow(meet, "dim int, cell int, part int, other int, piece int"), "met")
+    keys = ["dim", "cell", "part", "other", "piece"]
+    left = queries.join(met, home)
+    right = dealt.select("vec_id", "dim", "v", F.col("cell").alias("other"), F.col("part").alias("piece")).join(met, ["dim", "other", "piece"])
+    every_pair = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(pair, found)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return every_pair.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def brute_force(ids: Iterator[int], vectors: list, k: int, scale: float = 64.0, every: int = 20) -> list[tuple[int, int, int, int]]:
