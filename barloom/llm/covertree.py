@@ -274,15 +274,19 @@ def top_k(df: DataFrame, k: int = 20, scale: float = 64.0, every: int = 20, key:
 
     placed = stored(rows.mapInArrow(deal, "vec_id bigint, dim int, v array<double>, cell int, far double, turn bigint"), "vectors")
     is_query = F.col("vec_id") % every == 0
-    tally = placed.groupBy("dim", "cell").agg(F.count("*").alias("n"), F.max("far").alias("far"), F.max(F.when(is_query, F.col("far"))).alias("query_far")).collect()
+    tally = placed.groupBy("dim", "cell").agg(F.count("*").alias("n"), F.count_if(is_query).alias("n_queries"), F.max("far").alias("far"), F.max(F.when(is_query, F.col("far"))).alias("query_far")).collect()
     others: dict[int, dict[int, float]] = {}
     for r in tally:
         others.setdefault(r["dim"], {})[r["cell"]] = r["far"]
     radius = {(r["dim"], r["cell"]): r["query_far"] for r in tally}
     blocks = {(r["dim"], r["cell"]): math.ceil(r["n"] / block) for r in tally}
-    counted = spark.createDataFrame([(*at, n) for at, n in blocks.items()], "dim int, cell int, blocks int")
-    dealt = placed.join(F.broadcast(counted), ["dim", "cell"]).select("vec_id", "dim", "cell", "v", F.pmod("turn", F.col("blocks")).cast("int").alias("part"))
-    queries = dealt.where(is_query).select(*(F.col(c).alias(c) for c in dealt.columns), F.lit(float("-inf")).alias("floor"))
+    counted = spark.createDataFrame([(r["dim"], r["cell"], blocks[r["dim"], r["cell"]], max(1, math.ceil(r["n_queries"] / block))) for r in tally], "dim int, cell int, blocks int, query_blocks int")
+
+    def dealt_by(into: str) -> DataFrame:
+        return placed.join(F.broadcast(counted), ["dim", "cell"]).select(*(F.col(c).alias(c) for c in ("vec_id", "dim", "cell", "v")), F.pmod("turn", F.col(into)).cast("int").alias("part"))
+
+    dealt = dealt_by("blocks")
+    queries = dealt_by("query_blocks").where(is_query).withColumn("floor", F.lit(float("-inf")))
 
     def pair(a: pa.Table, b: pa.Table) -> pa.Table:
         names = ["query_id", "vec_id", "score"]
