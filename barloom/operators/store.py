@@ -5,8 +5,10 @@
 names, for every year, the batch that counts. A write makes new batches and then
 the next log entry, which only one writer can make: a reader sees all of a write or
 nothing, a failed write leaves files that nothing names, and of two writers at
-once the later one raises ``Conflict`` and changes nothing. ``vacuum`` removes
-batches that the log no longer names. Only Spark's file systems are used.
+once the later one raises ``Conflict`` and changes nothing, on file systems where a
+file is never renamed onto another, as HDFS; elsewhere the lock keeps writers
+apart. ``vacuum`` removes batches that the log no longer names, and leaves of refused
+writes. Only Spark's file systems are used.
 """
 
 from __future__ import annotations
@@ -112,21 +114,25 @@ class Store:
     def commit(self, bars: DataFrame, years: Iterable[int], now: dt.datetime | None = None) -> None:
         """Makes ``bars`` all there is of ``years``; a year without rows leaves the store. Other years stay untouched.
 
-        Dates of a ticker must be present and distinct, else ``Refused``. Chunks whose digest is unchanged keep their ``updated_at``.
+        Dates of a ticker must be present and distinct, else ``Refused``, and the log stays as it is. Chunks whose digest is unchanged keep their ``updated_at``.
         """
         years = sorted(set(years))
         number, held = self.entry()
         batch = f"{number + 1:09d}-{uuid.uuid4().hex[:8]}"
         rows = bars.select(*(f.name if f.name in bars.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in BARS.fields)).where(F.year("date").isin(*years) | F.col("date").isNull())
-        wrong = chunk_problems(rows).limit(3).collect()
-        if wrong:
-            raise Refused("; ".join(f"{r['ticker']} {r['year']}: {r['problem']}" for r in wrong))
         dealt = rows.withColumn("year", F.year("date")).repartition("year", F.pmod(F.xxhash64("ticker"), F.lit(DEALS)))
         dealt.withColumn("batch", F.lit(batch)).sortWithinPartitions("year", "ticker", "date").write.mode("append").partitionBy("year", "batch").parquet(f"{self.path}/data")
-        made = {int(n.removeprefix("year=")) for n in self.files.names(f"{self.path}/data") if n.startswith("year=") and f"batch={batch}" in self.files.names(f"{self.path}/data/{n}")}
+        written = [n.removeprefix("year=") for n in self.files.names(f"{self.path}/data") if n.startswith("year=") and f"batch={batch}" in self.files.names(f"{self.path}/data/{n}")]
+        if not all(y.isdigit() for y in written):
+            raise Refused("missing date")
+        made = set(map(int, written))
         if made:
             fresh = self.spark.read.schema(T.StructType([*BARS.fields, T.StructField("year", T.IntegerType()), T.StructField("batch", T.StringType())])).option("basePath", f"{self.path}/data")
             fresh = fresh.parquet(*(f"{self.path}/data/year={y}/batch={batch}" for y in sorted(made))).drop("batch", "year")
+            # the rows are looked at where they were written: nothing names them yet
+            wrong = chunk_problems(fresh).limit(3).collect()
+            if wrong:
+                raise Refused("; ".join(f"{r['ticker']} {r['year']}: {r['problem']}" for r in wrong))
             before = self.manifest(years).select("ticker", "year", F.col("sha256").alias("was"), F.col("updated_at").alias("at"))
             stamp = F.lit(now or dt.datetime.now(dt.UTC).replace(tzinfo=None)).cast("timestamp_ntz")
             entries = chunk_checksums(fresh).join(before, ["ticker", "year"], "left")
@@ -162,8 +168,9 @@ class Store:
         gone = 0
         for kind in ("data", "chunks"):
             for y in (n for n in self.files.names(f"{self.path}/{kind}") if n.startswith("year=")):
+                year = y.removeprefix("year=")
                 for b in self.files.names(f"{self.path}/{kind}/{y}"):
-                    if b.removeprefix("batch=") != held.get(int(y.removeprefix("year="))):
+                    if not year.isdigit() or b.removeprefix("batch=") != held.get(int(year)):
                         self.files.remove(f"{self.path}/{kind}/{y}/{b}")
                         gone += 1
         return gone

@@ -766,7 +766,9 @@ def _stored(spark: SparkSession, rows: DataFrame, label: str) -> Store:
 @query(f"{ctes('clean_bars', 'overlay')} SELECT {COLS}, CAST(year(date) AS INTEGER) AS year FROM (SELECT {COLS} FROM overlay UNION ALL SELECT {COLS} FROM clean_bars c WHERE NOT EXISTS (SELECT 1 FROM overlay o WHERE o.ticker = c.ticker AND o.date = c.date))")
 def store_merge(spark, sf_dir):
     """A merge into a stored year, after an earlier merge into others and a newer bulk load, read back."""
-    rows = clean(spark, sf_dir)
+    path = scratch(spark, "clean")
+    clean(spark, sf_dir).write.parquet(path)  # four writes read it
+    rows = spark.read.parquet(path)
     held = _stored(spark, rows, "merge")
     held.merge(_overlay(rows).withColumn("close", F.col("close") * 3))
     held.replace(rows.drop("board").where(F.year("date") >= 2001))

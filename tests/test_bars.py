@@ -138,9 +138,12 @@ def test_writers_conflict_and_failed_writes_show_nothing(spark, tmp_path):
     assert held(st) == {("a", D(2024, 1, 2), 2.0)}
     with pytest.raises(Refused, match="do not increase"):
         st.replace(one.union(one))
+    with pytest.raises(Refused, match="missing date"):
+        st.replace(one.union(one.withColumn("date", F.lit(None).cast("date"))))
     with pytest.raises(Exception, match="boom"):
         st.replace(one.withColumn("close", F.raise_error(F.lit("boom")).cast("double")))
     assert held(st) == {("a", D(2024, 1, 2), 2.0)}
+    assert st.vacuum() >= 3 and held(st) == {("a", D(2024, 1, 2), 2.0)}
     assert st.hold("x") and st.hold("x") and not st.hold("y")
     st.release("y")
     assert not st.hold("y")
