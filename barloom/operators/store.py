@@ -111,10 +111,11 @@ class Store:
         """ticker, n, first, last, sha256, codec, schema_version, updated_at, year of every chunk."""
         return self._load("chunks", CHUNKS, years)
 
-    def commit(self, bars: DataFrame, years: Iterable[int], now: dt.datetime | None = None) -> None:
+    def commit(self, bars: DataFrame, years: Iterable[int], now: dt.datetime | None = None, changed: DataFrame | None = None) -> None:
         """Makes ``bars`` all there is of ``years``; a year without rows leaves the store. Other years stay untouched.
 
         Dates of a ticker must be present and distinct, else ``Refused``, and the log stays as it is. Chunks whose digest is unchanged keep their ``updated_at``.
+        ``changed`` (ticker, year) names the only chunks that may differ from the stored ones; the others keep their manifest entries.
         """
         years = sorted(set(years))
         number, held = self.entry()
@@ -130,13 +131,20 @@ class Store:
             fresh = self.spark.read.schema(T.StructType([*BARS.fields, T.StructField("year", T.IntegerType()), T.StructField("batch", T.StringType())])).option("basePath", f"{self.path}/data")
             fresh = fresh.parquet(*(f"{self.path}/data/year={y}/batch={batch}" for y in sorted(made))).drop("batch", "year")
             # the rows are looked at where they were written: nothing names them yet
+            before = self.manifest(years)
+            kept = None
+            if changed is not None:
+                keys = changed.select("ticker", "year").distinct()
+                fresh = fresh.withColumn("year", F.year("date")).join(keys, ["ticker", "year"], "left_semi").drop("year")
+                kept = before.join(keys, ["ticker", "year"], "left_anti").where(F.col("year").isin(*made))
             wrong = chunk_problems(fresh).limit(3).collect()
             if wrong:
                 raise Refused("; ".join(f"{r['ticker']} {r['year']}: {r['problem']}" for r in wrong))
-            before = self.manifest(years).select("ticker", "year", F.col("sha256").alias("was"), F.col("updated_at").alias("at"))
+            before = before.select("ticker", "year", F.col("sha256").alias("was"), F.col("updated_at").alias("at"))
             stamp = F.lit(now or dt.datetime.now(dt.UTC).replace(tzinfo=None)).cast("timestamp_ntz")
             entries = chunk_checksums(fresh).join(before, ["ticker", "year"], "left")
             entries = entries.select("ticker", "n", "first", "last", "sha256", F.lit(CODEC).alias("codec"), F.lit(VERSION).alias("schema_version"), F.when(F.col("was") == F.col("sha256"), F.col("at")).otherwise(stamp).alias("updated_at"), "year")
+            entries = entries.unionByName(kept.select(*entries.columns)) if kept is not None else entries
             entries.repartition("year").withColumn("batch", F.lit(batch)).write.mode("append").partitionBy("year", "batch").parquet(f"{self.path}/chunks")
         counted = {y: b for y, b in held.items() if y not in years} | dict.fromkeys(made, batch)
         if not self.files.create(f"{self.path}/log/{number + 1:09d}.json", json.dumps({"years": {str(y): b for y, b in sorted(counted.items())}})):
@@ -149,18 +157,19 @@ class Store:
     def upsert(self, incoming: DataFrame) -> None:
         """Every ticker-year that the rows have is replaced whole; the rest stays."""
         years = _years(incoming)
-        self.commit(upsert_series(self.bars(years).drop("year"), incoming), years)
+        self.commit(upsert_series(self.bars(years).drop("year"), incoming), years, changed=_chunks_of(incoming))
 
     def merge(self, incoming: DataFrame) -> None:
         """Incoming rows replace stored rows of their (ticker, date) whole, in the years that they have."""
         years = _years(incoming)
-        self.commit(merge(self.bars(years).drop("year"), incoming.select("ticker", "date", *(c for c in FIELDS if c in incoming.columns))), years)
+        self.commit(merge(self.bars(years).drop("year"), incoming.select("ticker", "date", *(c for c in FIELDS if c in incoming.columns))), years, changed=_chunks_of(incoming))
 
     def delete(self, ticker: str) -> None:
         """Removes all bars of a ticker; years that hold nothing else leave the store."""
         years = [r["year"] for r in self.manifest().where(F.col("ticker") == ticker).select("year").distinct().collect()]
         if years:
-            self.commit(self.bars(years).where(F.col("ticker") != ticker).drop("year"), years)
+            gone = self.manifest(years).where(F.col("ticker") == ticker)
+            self.commit(self.bars(years).where(F.col("ticker") != ticker).drop("year"), years, changed=gone)
 
     def vacuum(self) -> int:
         """Removes batches that the last log entry does not name, as failed and replaced writes leave them; returns how many. Not while others read or write."""
@@ -185,6 +194,10 @@ class Store:
             self.files.remove(f"{self.path}/writer.lock")
 
 
+def _chunks_of(bars: DataFrame) -> DataFrame:
+    return bars.select("ticker", F.year("date").alias("year"))
+
+
 def _years(bars: DataFrame) -> list[int]:
     """The years of the rows: a few dozen at most."""
     return [r["y"] for r in bars.select(F.year("date").alias("y")).where("y IS NOT NULL").distinct().collect()]

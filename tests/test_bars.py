@@ -159,6 +159,16 @@ def test_unchanged_chunks_keep_their_stamp(spark, tmp_path):
     assert {r["ticker"]: r["updated_at"].month for r in st.manifest().collect()} == {"a": 5, "b": 6}
 
 
+def test_manifests_follow_every_kind_of_write(spark, tmp_path):
+    """After merges, upserts and deletions the manifest is that of the rows, though only changed chunks are digested."""
+    st = Store(spark, f"{tmp_path}/bars")
+    bars = [rows(spark, *((t, D(y, 1, d), float(d + y % 7), {}) for t in ts for y in (2023, 2024) for d in range(2, 2 + n))).drop("seq", "board") for ts, n in (("abc", 4), ("bd", 6), ("cd", 2))]
+    for write, frame in ((st.replace, bars[0]), (st.merge, bars[1].withColumn("close", F.col("close") + 1)), (st.upsert, bars[2]), (st.delete, "b"), (st.delete, "a")):
+        write(frame)
+        want = {(r["ticker"], r["year"]): (r["n"], r["sha256"]) for r in codec.chunk_checksums(st.bars().drop("year")).collect()}
+        assert {(r["ticker"], r["year"]): (r["n"], r["sha256"]) for r in st.manifest().collect()} == want
+
+
 def test_a_store_reads_only_the_years_asked_for(spark, tmp_path):
     st = Store(spark, f"{tmp_path}/bars")
     st.replace(rows(spark, ("a", D(2022, 1, 2), 1.0, {}), ("a", D(2023, 1, 2), 1.0, {}), ("a", D(2024, 1, 2), 1.0, {})).drop("seq", "board"))
