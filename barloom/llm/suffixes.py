@@ -147,8 +147,28 @@ def _scan(docs: DataFrame, min_words: int, reach: int) -> DataFrame:
     return docs.mapInArrow(run, "suffix bigint, stretch bigint, stretch2 bigint, doc_id bigint, row bigint, lo int, count int")
 
 
-def _compare_suffixes(sorted_rows: DataFrame) -> DataFrame:
-    """Of rows sorted by suffix, stretch and place: those like a neighbour, with the place key, and the neighbour's doc where the stretch is equal and at another place.
+HELD = 50_000  # rows that are gathered by document before they leave a task
+
+
+def _by_document(parts: list[list[np.ndarray]], min_words: int) -> pa.RecordBatch:
+    """doc_id, row, whole (stretches that repeat, and where from), places (of the others): one row a document."""
+    doc, row, lo, count, place, source, same = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((lo, row, doc))
+    doc, row, lo, count, place, source, same = (x[order] for x in (doc, row, lo, count, place, source, same))
+    first = np.nonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (row[1:] != row[:-1])]))[0]
+
+    def lists(keep: np.ndarray, values: pa.Array) -> pa.Array:
+        upto = np.concatenate([[0], np.cumsum(keep)])
+        return pa.ListArray.from_arrays(pa.array(upto[np.append(first, len(doc))].astype(np.int32)), values)
+
+    spans = pa.StructArray.from_arrays([pa.array(x[same]) for x in (lo.astype(np.int32), (lo + count - 1 + min_words).astype(np.int32), source)], names=["a", "b", "source"])
+    return pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array(row[first]), lists(same, spans), lists(~same, pa.array(place[~same]))], names=["doc_id", "row", "whole", "places"])
+
+
+def _compare_suffixes(sorted_rows: DataFrame, min_words: int) -> DataFrame:
+    """Of rows sorted by suffix, stretch and place those like a neighbour, gathered by document in each task.
+
+    ``whole`` has the stretches that equal the neighbour's before, at another place, and its doc; ``places`` the place keys of the others.
 
     The first of equal suffixes is left out where all of them, seen in one batch, have its stretch. The first and
     last row of a partition, whose outer neighbour is elsewhere, are kept; the windows decide on them.
@@ -156,13 +176,13 @@ def _compare_suffixes(sorted_rows: DataFrame) -> DataFrame:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the last row, held back until its next neighbour is known
-        prior, ended = None, False
+        prior, ended, parts = None, False, []
         while not ended:
             batch = next(it, None)
             ended = batch is None
             rows = [] if ended else [batch.column(i).to_numpy() for i in range(7)]
             if ended and held is None:
-                return
+                break
             if held is not None:
                 rows = [np.concatenate([h, r]) for h, r in zip(held, rows, strict=True)] if not ended else held
             if not len(rows[0]):
@@ -186,12 +206,16 @@ def _compare_suffixes(sorted_rows: DataFrame) -> DataFrame:
                 first = first[(stretch[first] == stretch[last]) & (stretch2[first] == stretch2[last])]
                 keep[first if prior else first[first > 0]] = False
                 if keep.any():
-                    cols = [x[:n][keep] for x in (doc, row, lo, count, _place(doc, row, lo))]
-                    yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in cols), pa.array(np.where(same, source, 0)[:n][keep], mask=~same[:n][keep])], names=["doc_id", "row", "lo", "count", "place", "source"])
+                    parts.append([x[:n][keep] for x in (doc, row, lo, count, _place(doc, row, lo), source, same)])
+                    if sum(len(x[0]) for x in parts) >= HELD:
+                        yield _by_document(parts, min_words)
+                        parts.clear()
                 prior = tuple(x[n - 1] for x in (suffix, stretch, stretch2, doc, row, lo))
             held = None if ended else [x[n:] for x in rows]
+        if parts:
+            yield _by_document(parts, min_words)
 
-    return sorted_rows.mapInArrow(run, "doc_id bigint, row bigint, lo int, count int, place bigint, source bigint")
+    return sorted_rows.mapInArrow(run, "doc_id bigint, row bigint, whole array<struct<a: int, b: int, source: bigint>>, places array<bigint>")
 
 
 def _windows(docs: DataFrame, min_words: int, reach: int, places: Broadcast) -> DataFrame:
@@ -249,9 +273,9 @@ def repeated_spans(df: DataFrame, min_words: int = 50, reach: int = 32, key: str
     docs = keyed_text(df, key, text).where(F.col("doc_id").isNotNull()).withColumn("row", _row(F.col("text")))
     kept = stored(_scan(docs, min_words, reach), "suffixes")
     order = ["suffix", "stretch", "stretch2", "doc_id", "row", "lo"]
-    alike = stored(_compare_suffixes(kept.repartitionByRange(*order).sortWithinPartitions(*order)), "alike")
+    alike = stored(_compare_suffixes(kept.repartitionByRange(*order).sortWithinPartitions(*order), min_words), "alike")
     discard(kept)
-    places = shared_bitmap(alike.where(F.col("source").isNull()), F.col("place"))
+    places = shared_bitmap(alike.select(F.explode("places").alias("place")), F.col("place"))
     windows = stored(_windows(docs, min_words, reach, places), "windows")
     places.destroy()
     order = ["window", "window2", "doc_id", "row", "start"]
@@ -262,10 +286,11 @@ def repeated_spans(df: DataFrame, min_words: int = 50, reach: int = 32, key: str
     ends = compared.where("kind <> 1").withColumns({c: F.lag(x).over(before) for c, x in (("w", "window"), ("w2", "window2"), ("d", "doc_id"), ("r", "row"), ("s", "start"))})
     carried = ends.where("kind = 0 AND window = w AND window2 = w2 AND (doc_id <> d OR row <> r OR start <> s)").select("doc_id", "row", "start", F.col("d").alias("source"))
     single = compared.where("kind = 1").select("doc_id", "row", "start", "source").union(carried)
-    whole = alike.where(F.col("source").isNotNull()).select("doc_id", "row", F.col("lo").alias("a"), (F.col("lo") + F.col("count") - 1 + min_words).alias("b"), "source")
-    found = single.select("doc_id", "row", F.col("start").alias("a"), (F.col("start") + min_words).alias("b"), "source").union(whole)
+    span = F.struct(F.col("start").alias("a"), (F.col("start") + min_words).alias("b"), "source")
+    found = single.select("doc_id", "row", F.array(span).alias("whole")).union(alike.where(F.size("whole") > 0).select("doc_id", "row", "whole"))
     # a document's own intervals: no more than it has words
-    by_doc = found.groupBy("doc_id", "row").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("s"), F.array_sort(F.collect_set("source")).alias("source_ids"))
+    by_doc = found.groupBy("doc_id", "row").agg(F.flatten(F.collect_list("whole")).alias("whole"))
+    by_doc = by_doc.select("doc_id", "row", F.array_sort(F.transform("whole", lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b")))).alias("s"), F.array_sort(F.array_distinct(F.transform("whole", lambda x: x["source"]))).alias("source_ids"))
 
     def merge(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(it):
